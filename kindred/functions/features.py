@@ -22,44 +22,60 @@ def _contains(a: Column, b: Column) -> Column:
 
 
 def _length_diff(a: Column, b: Column) -> Column:
-    return F.abs(F.length(a) - F.length(b)).cast("bigint")
+    return F.abs(a - b).cast("bigint")
 
 
 def _length_ratio(a: Column, b: Column) -> Column:
-    longest = F.greatest(F.length(a), F.length(b))
-    shortest = F.least(F.length(a), F.length(b))
-    return F.when(longest == 0, F.lit(0.0)).otherwise(shortest.cast("double") / longest)
+    longest = F.greatest(a, b)
+    return F.when(longest == 0, F.lit(0.0)).otherwise(F.least(a, b).cast("double") / longest)
 
 
-def feature_columns(left: dict[str, Column], right: dict[str, Column], guard_empty: bool = True) -> list[Column]:
-    """The features of two records given as ``country``, ``name``, ``address`` and ``number``.
+# What the features compare, worked out once per record: a record is part of many pairs.
+RECORD_PARTS = {
+    "country": lambda: F.col("country"),
+    "name": lambda: F.col("name"),
+    "name_first": lambda: parts.first_word(F.col("name")),
+    "name_last": lambda: parts.last_word(F.col("name")),
+    "name_two": lambda: parts.first_two_words(F.col("name")),
+    "name_length": lambda: F.length("name"),
+    "address": lambda: F.col("address"),
+    "address_first": lambda: parts.first_word(F.col("address")),
+    "address_number": lambda: parts.first_number(F.col("address")),
+    "address_length": lambda: F.length("address"),
+}
 
-    ``number`` is the first number of the address, worked out once per record. With
-    ``guard_empty`` two empty parts never count as equal; without it, first, last and
-    first-two words of empty or short fields compare as equal empty strings.
+
+def record_parts(prefix: str) -> list[Column]:
+    """The parts of a normalised record, each name with ``prefix`` in front."""
+    return [part().alias(prefix + name) for name, part in RECORD_PARTS.items()]
+
+
+def feature_columns(left: str, right: str, guard_empty: bool = True) -> list[Column]:
+    """The features of the records whose parts carry the prefixes ``left`` and ``right``.
+
+    With ``guard_empty`` two empty parts never count as equal; without it, first, last
+    and first-two words of empty or short fields compare as equal empty strings.
     """
-    name, other_name = left["name"], right["name"]
-    address, other_address = left["address"], right["address"]
 
-    def both(part, a, b):
-        return _same(part(a), part(b), guard_empty)
+    def sides(part):
+        return F.col(left + part), F.col(right + part)
 
     values = {
-        "country_match": _same(left["country"], right["country"]),
-        "name_exact": _same(name, other_name),
-        "name_first_match": both(parts.first_word, name, other_name),
-        "name_last_match": both(parts.last_word, name, other_name),
-        "name_first_two_match": both(parts.first_two_words, name, other_name),
-        "name_contains": _contains(name, other_name),
-        "name_length_diff": _length_diff(name, other_name),
-        "name_length_ratio": _length_ratio(name, other_name),
-        "address_exact": _same(address, other_address),
-        "address_first_match": both(parts.first_word, address, other_address),
-        "address_number_match": _same(left["number"], right["number"]),
-        "address_contains": _contains(address, other_address),
-        "address_length_diff": _length_diff(address, other_address),
-        "address_length_ratio": _length_ratio(address, other_address),
-        "name_missing": _flag((name == "") | (other_name == "")),
-        "address_missing": _flag((address == "") | (other_address == "")),
+        "country_match": _same(*sides("country")),
+        "name_exact": _same(*sides("name")),
+        "name_first_match": _same(*sides("name_first"), guard_empty),
+        "name_last_match": _same(*sides("name_last"), guard_empty),
+        "name_first_two_match": _same(*sides("name_two"), guard_empty),
+        "name_contains": _contains(*sides("name")),
+        "name_length_diff": _length_diff(*sides("name_length")),
+        "name_length_ratio": _length_ratio(*sides("name_length")),
+        "address_exact": _same(*sides("address")),
+        "address_first_match": _same(*sides("address_first"), guard_empty),
+        "address_number_match": _same(*sides("address_number")),
+        "address_contains": _contains(*sides("address")),
+        "address_length_diff": _length_diff(*sides("address_length")),
+        "address_length_ratio": _length_ratio(*sides("address_length")),
+        "name_missing": _flag((F.col(left + "name") == "") | (F.col(right + "name") == "")),
+        "address_missing": _flag((F.col(left + "address") == "") | (F.col(right + "address") == "")),
     }
     return [values[f].alias(f) for f in FEATURES]

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.functions import parts
-from kindred.functions.features import feature_columns
+from kindred.functions.features import feature_columns, record_parts
 from kindred.operators.blocks import explode_groups
+from kindred.operators.labels import true_id_sets, with_label
 from kindred.schemas import FEATURES, PAIR_KEYS
 
-_FIELDS = ["country", "name", "address", "number"]
+_LEFT, _RIGHT = "left_", "right_"
 
 
 def candidate_records(s2: DataFrame, s3: DataFrame) -> DataFrame:
@@ -18,26 +18,18 @@ def candidate_records(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.withColumn("source", F.lit("s2")).unionByName(s3.withColumn("source", F.lit("s3")))
 
 
-def _prefixed(records: DataFrame, prefix: str) -> list:
-    """Fields the features need, the address number worked out once per record."""
-    number = parts.first_number(F.col("address")).alias(f"{prefix}_number")
-    return [F.col(f).alias(f"{prefix}_{f}") for f in _FIELDS[:3]] + [number]
-
-
 def _s1_side(s1: DataFrame) -> DataFrame:
-    return s1.select(F.col("entity_id").alias("source1_entity_id"), *_prefixed(s1, "left"))
+    return s1.select(F.col("entity_id").alias("source1_entity_id"), *record_parts(_LEFT))
 
 
 def _compare(pairs: DataFrame, others: DataFrame, guard_empty: bool) -> DataFrame:
-    """Features of ``pairs`` that already hold the S1 fields."""
+    """Features of ``pairs`` that already hold the parts of their S1 record."""
     right = others.select(
-        F.col("entity_id").alias("candidate_entity_id"), "source", *_prefixed(others, "right")
+        F.col("entity_id").alias("candidate_entity_id"), "source", *record_parts(_RIGHT)
     )
-    sides = [{f: F.col(f"{p}_{f}") for f in _FIELDS} for p in ("left", "right")]
-    left_fields = [f"left_{f}" for f in _FIELDS]
-    extra = [c for c in pairs.columns if c not in PAIR_KEYS and c not in left_fields]
+    extra = [c for c in pairs.columns if c not in PAIR_KEYS and not c.startswith(_LEFT)]
     return pairs.join(right, ["candidate_entity_id", "source"]).select(
-        *PAIR_KEYS, *extra, *feature_columns(*sides, guard_empty)
+        *PAIR_KEYS, *extra, *feature_columns(_LEFT, _RIGHT, guard_empty)
     )
 
 
@@ -49,12 +41,22 @@ def pair_features(
 
 
 def group_features(
-    groups: DataFrame, s1: DataFrame, others: DataFrame, guard_empty: bool = True
+    groups: DataFrame,
+    s1: DataFrame,
+    others: DataFrame,
+    guard_empty: bool = True,
+    truth: DataFrame | None = None,
 ) -> DataFrame:
-    """The same from candidate groups. S1 fields are joined before the groups are
-    exploded, so the pairs are moved once, to meet their candidate records."""
-    pairs = explode_groups(groups.join(_s1_side(s1), "source1_entity_id"))
-    return _compare(pairs, others, guard_empty)
+    """The same from candidate groups, with ``label`` if ``truth`` pairs are given.
+
+    Parts of the S1 records and true ids are joined before the groups are exploded, so
+    the pairs are moved once, to meet their candidate records.
+    """
+    joined = groups.join(_s1_side(s1), "source1_entity_id")
+    if truth is None:
+        return _compare(explode_groups(joined), others, guard_empty)
+    joined = joined.join(true_id_sets(truth), "source1_entity_id", "left")
+    return _compare(with_label(explode_groups(joined)), others, guard_empty)
 
 
 # Weights of the stand-in score, in the order they are added.

@@ -66,7 +66,8 @@ def _features(inputs: Sources, guard_empty: bool = True) -> DataFrame:
 
 
 def _labelled_features(inputs: Sources, dataset: str) -> DataFrame:
-    return pairs.pair_features(_labelled(inputs, dataset), inputs.s1, inputs.others)
+    truth = _truth(inputs, dataset)
+    return pairs.group_features(_groups(inputs), inputs.s1, inputs.others, truth=truth)
 
 
 def _scored(inputs: Sources) -> DataFrame:
@@ -331,6 +332,11 @@ def labelled_features(inputs):
     return _labelled_features(inputs, PAGES)
 
 
+@query(PAGES)
+def labelled_pair_features(inputs):
+    return pairs.pair_features(_labelled(inputs, PAGES), inputs.s1, inputs.others)
+
+
 def _totals(features: DataFrame) -> DataFrame:
     """Sums of every feature per S1 entity; ratios rounded pair by pair to whole
     millionths so that the order of adding does not matter."""

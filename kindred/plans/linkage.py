@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kindred.functions.text import normalize_records
 from kindred.operators import blocks, labels, lists, pairs
@@ -17,8 +16,7 @@ def labelled_features(
 ) -> DataFrame:
     """Training rows: candidates labelled by ``truth`` pairs, with their features."""
     groups = blocks.candidates(s1, others, **blocking)
-    labelled = labels.label_pairs(blocks.explode_groups(groups), truth)
-    return pairs.pair_features(labelled, s1, others)
+    return pairs.group_features(groups, s1, others, truth=truth)
 
 
 def link_by_rule(s1: DataFrame, others: DataFrame, threshold: float, **blocking) -> DataFrame:
