@@ -39,5 +39,5 @@ def word_after_number(text: Column) -> Column:
 
 
 def is_index_word(word: Column) -> Column:
-    """Words worth an index entry: three characters or more, not only digits."""
-    return (F.length(word) >= 3) & ~word.rlike("^[0-9]+$")
+    """Words worth an index entry: three characters or more, not only ASCII digits."""
+    return (F.length(word) >= 3) & (F.ltrim(word, F.lit("0123456789")) != "")

@@ -69,16 +69,18 @@ def _tagged_words(key_type: int, distinct_words: bool, guard_empty: bool) -> Col
 
 def _exploded(records: DataFrame, texts: Column) -> DataFrame:
     carried = [c for c in ("entity_id", "source") if c in records.columns]
-    key_type = F.substring("text", 1, 1).cast("int")
-    body = F.expr("substring(text, 2)")
     split = records.select(*carried, "country", F.explode(texts).alias("text")).select(
-        *carried, "country", key_type.alias("key_type"), body.alias("body")
+        *carried,
+        "country",
+        F.substring("text", 1, 1).alias("tag"),
+        F.expr("substring(text, 2)").alias("body"),
     )
-    is_word = F.col("key_type") >= NAME_WORD
-    return split.filter(F.when(is_word, parts.is_index_word(F.col("body"))).otherwise(F.col("body").isNotNull())).select(
+    body = F.col("body")
+    is_word = F.col("tag") >= str(NAME_WORD)
+    return split.filter(F.when(is_word, parts.is_index_word(body)).otherwise(body.isNotNull())).select(
         *carried,
-        "key_type",
-        F.when(is_word, _joined(F.col("country"), F.col("body"))).otherwise(F.col("body")).alias("block_key"),
+        F.col("tag").cast("int").alias("key_type"),
+        F.when(is_word, _joined(F.col("country"), body)).otherwise(body).alias("block_key"),
     )
 
 

@@ -11,7 +11,7 @@ def _s1_ids(s1: DataFrame) -> DataFrame:
 
 
 def _sorted_list(ids: Column) -> Column:
-    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(ids)), ","), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(F.array_distinct(ids)), ","), F.lit(""))
 
 
 def candidate_lists(groups: DataFrame, s1: DataFrame, per_source: bool = False) -> DataFrame:

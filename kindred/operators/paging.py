@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.session import work_root
@@ -27,14 +27,12 @@ def number_rows(ids: DataFrame, column: str = "entity_id") -> DataFrame:
         .withColumn("_place", F.col("_id") - F.shiftleft(F.col("_part"), 33))
         .checkpoint()
     )
-    # One row per partition, so these few rows may be summed up in one place.
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    listed = sizes.agg(F.collect_list(F.struct("_part", "_size")).alias("all"))
-    offsets = listed.select(F.explode("all").alias("here"), "all").select(
-        F.col("here._part").alias("_part"),
-        F.expr(
-            "aggregate(filter(all, p -> p._part < here._part), 0L, (sum, p) -> sum + p._size)"
-        ).alias("_offset"),
+    # One row per partition: few enough to be summed up in one task and broadcast.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.count("*").alias("_size"))
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
     return placed.join(F.broadcast(offsets), "_part").select(
         *ids.columns, (F.col("_offset") + F.col("_place") + 1).alias("row_number")

@@ -181,7 +181,7 @@ def report(found: DataFrame) -> DataFrame:
         found.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= EXAMPLES)
         .groupBy("rule")
-        .agg(F.array_join(F.array_sort(F.collect_list("offender")), ", ").alias("examples"))
+        .agg(F.array_join(F.sort_array(F.collect_list("offender")), ", ").alias("examples"))
     )
     severity = F.when(F.col("rule").isin(WARNINGS), WARNING).otherwise(ERROR)
     return (

@@ -230,7 +230,7 @@ def _block_lists(built: DataFrame) -> DataFrame:
         "key_type",
         "block_key",
         "source",
-        F.array_join(F.array_sort("entity_ids"), ",").alias("entity_ids"),
+        F.array_join(F.sort_array("entity_ids"), ",").alias("entity_ids"),
     )
 
 
