@@ -39,6 +39,11 @@ def number_rows(ids: DataFrame, column: str = "entity_id") -> DataFrame:
     )
 
 
+def rows_between(ids: DataFrame, first: int, last: int, column: str = "entity_id") -> DataFrame:
+    """Rows number ``first`` to ``last`` in the order of ``column``, both included."""
+    return number_rows(ids, column).filter(F.col("row_number").between(first, last))
+
+
 def pages(ids: DataFrame, size: int = 100_000) -> DataFrame:
     """``(page, entity_id)``: ids in order, ``size`` to a page, pages from 0."""
     page = F.floor((F.col("row_number") - 1) / F.lit(size)).cast("bigint")

@@ -20,26 +20,26 @@ from kindred.sources.tables import DATASETS, Sources, sources, truth_lists
 
 PAGES, DOCUMENTS = "pages", "documents"
 THRESHOLD = 0.5
-SMALL_CAP = 20
+CAP_20 = 20
 PAGE_SIZE = 500
+FIRST_ROW, LAST_ROW = 501, 1000
 LIMIT = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(dataset: str | None = None, **options):
-    """Register a function of normalised sources, or of raw ones if no dataset is named."""
+def query(dataset: str | None = None, name: str | None = None, **options):
+    """Register a function of the normalised sources of ``dataset``, or, without one, of
+    the session and the folder of the tables."""
 
     def register(function):
-        name = function.__name__
-
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             if dataset is None:
                 return function(spark, sf_dir)
             return function(sources(spark, sf_dir, dataset, **options))
 
-        QUERIES[name] = run
+        QUERIES[name or function.__name__] = run
         return function
 
     return register
@@ -114,6 +114,11 @@ def s1_pages(inputs):
     return paging.pages(inputs.s1, PAGE_SIZE)
 
 
+@query(DOCUMENTS)
+def s1_row_range(inputs):
+    return paging.rows_between(inputs.s1.select("entity_id"), FIRST_ROW, LAST_ROW)
+
+
 @query(DOCUMENTS)
 def candidate_records(inputs):
     split = {t: inputs.others.filter(F.col("source") == t).drop("source") for t in ("s2", "s3")}
@@ -234,14 +239,14 @@ def _block_lists(built: DataFrame) -> DataFrame:
     )
 
 
-@query(DOCUMENTS)
-def blocks_capped(inputs):
+@query(DOCUMENTS, name="blocks")
+def block_lists(inputs):
     return _block_lists(blocks.build_blocks(inputs.others))
 
 
 @query(DOCUMENTS)
-def blocks_capped_small(inputs):
-    return _block_lists(blocks.build_blocks(inputs.others, cap=SMALL_CAP))
+def blocks_cap20(inputs):
+    return _block_lists(blocks.build_blocks(inputs.others, cap=CAP_20))
 
 
 @query(PAGES)
@@ -250,8 +255,8 @@ def candidate_pairs(inputs):
 
 
 @query(PAGES)
-def candidate_pairs_small_cap(inputs):
-    return blocks.explode_groups(_groups(inputs, cap=SMALL_CAP))
+def candidate_pairs_cap20(inputs):
+    return blocks.explode_groups(_groups(inputs, cap=CAP_20))
 
 
 @query(PAGES)
@@ -265,8 +270,8 @@ def candidate_lists(inputs):
 
 
 @query(DOCUMENTS)
-def candidate_lists_small_cap(inputs):
-    return lists.candidate_lists(_groups(inputs, cap=SMALL_CAP), inputs.s1)
+def candidate_lists_cap20(inputs):
+    return lists.candidate_lists(_groups(inputs, cap=CAP_20), inputs.s1)
 
 
 @query(DOCUMENTS)

@@ -11,7 +11,16 @@ import re
 from kindred.functions.vocabulary import ADDRESS_WORDS, LEGAL_WORDS, NAME_WORDS
 from kindred.operators.evaluate import DEFAULT_THRESHOLD, THRESHOLDS
 from kindred.operators.pairs import SCORE_WEIGHTS
-from kindred.plans.catalog import DOCUMENTS, LIMIT, PAGE_SIZE, PAGES, SMALL_CAP, THRESHOLD
+from kindred.plans.catalog import (
+    CAP_20,
+    DOCUMENTS,
+    FIRST_ROW,
+    LAST_ROW,
+    LIMIT,
+    PAGE_SIZE,
+    PAGES,
+    THRESHOLD,
+)
 from kindred.schemas import FEATURES
 
 CAP = 100
@@ -367,6 +376,12 @@ ORACLE: dict[str, str] = {
         FROM rec WHERE source = 's1'""",
         DOCUMENTS,
     ),
+    "s1_row_range": _sql(
+        f"""SELECT * FROM (SELECT entity_id, row_number() OVER (ORDER BY entity_id) AS row_number
+                           FROM rec WHERE source = 's1')
+        WHERE row_number BETWEEN {FIRST_ROW} AND {LAST_ROW}""",
+        DOCUMENTS,
+    ),
     "candidate_records": _sql("SELECT * FROM rec WHERE source <> 's1'", DOCUMENTS),
     "match_targets": _sql("SELECT DISTINCT entity_id FROM rec WHERE source <> 's1'", DOCUMENTS),
     "normalize_basic": _sql("SELECT * FROM rec", DOCUMENTS),
@@ -407,13 +422,13 @@ ORACLE: dict[str, str] = {
         GROUP BY ALL HAVING count(*) <= {CAP}""",
         DOCUMENTS,
     ),
-    "blocks_capped": _sql(_BLOCK_SQL, DOCUMENTS),
-    "blocks_capped_small": _sql(_BLOCK_SQL, DOCUMENTS, cap=SMALL_CAP),
+    "blocks": _sql(_BLOCK_SQL, DOCUMENTS),
+    "blocks_cap20": _sql(_BLOCK_SQL, DOCUMENTS, cap=CAP_20),
     "candidate_pairs": _sql("SELECT * FROM cand", PAGES),
-    "candidate_pairs_small_cap": _sql("SELECT * FROM cand", PAGES, cap=SMALL_CAP),
+    "candidate_pairs_cap20": _sql("SELECT * FROM cand", PAGES, cap=CAP_20),
     "candidate_pairs_unguarded": _sql("SELECT * FROM cand", PAGES, guard=False),
     "candidate_lists": _sql(_LISTS_SQL, DOCUMENTS),
-    "candidate_lists_small_cap": _sql(_LISTS_SQL, DOCUMENTS, cap=SMALL_CAP),
+    "candidate_lists_cap20": _sql(_LISTS_SQL, DOCUMENTS, cap=CAP_20),
     "candidate_lists_per_source": _sql(
         """
 SELECT r.entity_id AS source1_entity_id,
