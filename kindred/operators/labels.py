@@ -28,25 +28,19 @@ def true_pairs(truth: DataFrame, distinct: bool = False) -> DataFrame:
     return pairs.distinct() if distinct else pairs
 
 
-def true_id_sets(truth: DataFrame) -> DataFrame:
-    """True ids gathered per S1 entity, as they are in the truth file."""
-    return truth.groupBy("source1_entity_id").agg(F.collect_set("entity_id").alias("true_ids"))
-
-
-def with_label(pairs: DataFrame) -> DataFrame:
-    """``pairs`` that carry ``true_ids``, with ``label`` 1 for a true pair instead."""
-    hit = F.array_contains("true_ids", F.col("candidate_entity_id"))
-    label = F.coalesce(hit, F.lit(False)).cast("int").alias("label")
-    return pairs.select(*[c for c in pairs.columns if c != "true_ids"], label)
-
-
 def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """``pairs`` with ``label`` 1 where the pair is in the true pairs ``truth``, else 0.
 
-    Pairs exploded from candidate groups are already partitioned by the S1 entity and
-    are not moved.
+    Joined on both ids, so an entity with very many true pairs is spread like any other.
     """
-    return with_label(pairs.join(true_id_sets(truth), "source1_entity_id", "left"))
+    known = truth.select(
+        "source1_entity_id",
+        F.col("entity_id").alias("candidate_entity_id"),
+        F.lit(1).alias("known"),
+    ).distinct()
+    return pairs.join(known, ["source1_entity_id", "candidate_entity_id"], "left").select(
+        *pairs.columns, F.coalesce("known", F.lit(0)).alias("label")
+    )
 
 
 def label_counts(labelled: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from kindred.functions.features import feature_columns, record_parts
 from kindred.operators.blocks import explode_groups
-from kindred.operators.labels import true_id_sets, with_label
 from kindred.schemas import FEATURES, PAIR_KEYS
 
 _LEFT, _RIGHT = "left_", "right_"
@@ -41,22 +40,12 @@ def pair_features(
 
 
 def group_features(
-    groups: DataFrame,
-    s1: DataFrame,
-    others: DataFrame,
-    guard_empty: bool = True,
-    truth: DataFrame | None = None,
+    groups: DataFrame, s1: DataFrame, others: DataFrame, guard_empty: bool = True
 ) -> DataFrame:
-    """The same from candidate groups, with ``label`` if ``truth`` pairs are given.
-
-    Parts of the S1 records and true ids are joined before the groups are exploded, so
-    the pairs are moved once, to meet their candidate records.
-    """
-    joined = groups.join(_s1_side(s1), "source1_entity_id")
-    if truth is None:
-        return _compare(explode_groups(joined), others, guard_empty)
-    joined = joined.join(true_id_sets(truth), "source1_entity_id", "left")
-    return _compare(with_label(explode_groups(joined)), others, guard_empty)
+    """The same from candidate groups. Parts of the S1 records are joined before the
+    groups are exploded, so the pairs are moved once, to meet their candidate records."""
+    pairs = explode_groups(groups.join(_s1_side(s1), "source1_entity_id"))
+    return _compare(pairs, others, guard_empty)
 
 
 # Weights of the stand-in score, in the order they are added.

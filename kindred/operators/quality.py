@@ -175,7 +175,12 @@ def findings(
 
 def report(found: DataFrame) -> DataFrame:
     """``(rule, severity, n, examples)``: the count of each rule's offenders and the
-    first few in order. Only the first few of a rule leave each task."""
+    first few in order.
+
+    Findings are spread by rule and offender once; count and examples both read that
+    exchange. Only the first few of a rule leave each task.
+    """
+    found = found.repartition("rule", "offender")
     order = Window.partitionBy("rule").orderBy("offender")
     examples = (
         found.withColumn("place", F.row_number().over(order))

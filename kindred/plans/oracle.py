@@ -467,7 +467,6 @@ WHERE r.source = 's1' GROUP BY r.entity_id""",
     "pair_features_unguarded": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature_loose", PAGES),
     "pair_features_filled": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature", PAGES, filled=True),
     "labelled_features": _sql(_LABELLED_SQL, PAGES),
-    "labelled_pair_features": _sql(_LABELLED_SQL, PAGES),
     "feature_totals": _sql(_TOTAL_SQL, DOCUMENTS),
     "feature_totals_unguarded": _sql(
         _TOTAL_SQL.replace("FROM feature", "FROM feature_loose"), DOCUMENTS
