@@ -84,6 +84,10 @@ def _exploded(records: DataFrame, texts: Column) -> DataFrame:
     )
 
 
+def _all_words(distinct_words: bool, guard_empty: bool) -> list[Column]:
+    return [_tagged_words(t, distinct_words, guard_empty) for t in WORD_FIELDS]
+
+
 def record_keys(
     records: DataFrame, distinct_words: bool = True, guard_empty: bool = True
 ) -> DataFrame:
@@ -92,8 +96,8 @@ def record_keys(
 
     With ``distinct_words=False`` a word gives as many rows as it has uses.
     """
-    words = [_tagged_words(t, distinct_words, guard_empty) for t in WORD_FIELDS]
-    return _exploded(records, F.concat(F.array(*_fixed_keys(guard_empty)), *words))
+    fixed = F.array(*_fixed_keys(guard_empty))
+    return _exploded(records, F.concat(fixed, *_all_words(distinct_words, guard_empty)))
 
 
 def basic_keys(records: DataFrame, guard_empty: bool = True) -> DataFrame:
@@ -107,12 +111,22 @@ def field_words(records: DataFrame, field: str) -> DataFrame:
     return records.select(*carried, "country", F.explode(F.split(field, " ")).alias("word"))
 
 
+def _own_exchange(column: str) -> Column:
+    """One grouping column more than the join that follows needs, implied by the others.
+
+    The table of rare words then has to be exchanged for the join, so that both inputs
+    of the join are plain exchanges and adaptive execution can split a word that very
+    many records use. The table is small next to the words.
+    """
+    return F.length(column).alias("length")
+
+
 def rare_words(others: DataFrame, field: str, low: int = RARE_LOW, high: int = RARE_HIGH) -> DataFrame:
     """``(country, word)`` with ``low`` to ``high`` uses in all other sources together."""
     return (
         field_words(others, field)
         .filter(parts.is_index_word(F.col("word")))
-        .groupBy("country", "word")
+        .groupBy("country", "word", _own_exchange("word"))
         .agg(F.count("*").alias("uses"))
         .filter(F.col("uses").between(low, high))
         .select("country", "word")
@@ -126,7 +140,6 @@ def rare_keys(
     words = field_words(records, WORD_FIELDS[key_type]).filter(parts.is_index_word(F.col("word")))
     if guard_empty:
         words = words.filter("country <> ''")
-    # Words go straight from their exchange into the join: a very common word is split.
     found = words.join(rare, ["country", "word"], "left_semi")
     carried = [c for c in ("entity_id", "source") if c in records.columns]
     return found.select(
@@ -143,9 +156,16 @@ def all_keys(
     low: int = RARE_LOW,
     high: int = RARE_HIGH,
 ) -> DataFrame:
-    """All six kinds of key of ``records``, rare words judged on ``others``."""
-    keys = basic_keys(records, guard_empty)
-    for key_type, field in WORD_FIELDS.items():
-        rare = rare_words(others, field, low, high)
-        keys = keys.unionByName(rare_keys(records, rare, key_type, guard_empty))
-    return keys
+    """All six kinds of key of ``records``, rare words judged on ``others``.
+
+    Words of names and addresses are taken together, as keys, in one pass on each side.
+    """
+    uses = _exploded(others, F.concat(*_all_words(False, guard_empty)))
+    rare = (
+        uses.groupBy("key_type", "block_key", _own_exchange("block_key"))
+        .agg(F.count("*").alias("uses"))
+        .filter(F.col("uses").between(low, high))
+    )
+    words = _exploded(records, F.concat(*_all_words(True, guard_empty)))
+    found = words.join(rare, ["key_type", "block_key"], "left_semi").distinct()
+    return basic_keys(records, guard_empty).unionByName(found)

@@ -204,6 +204,11 @@ def test_hot_s1_key_is_split(spark, conf):
     assert rows.collect() == [(n // 3, n)]
     assert "skew=true) [key_type" in plan_of(rows).split("== Initial Plan ==")[0]
 
+    rare = keys.rare_words(others, "name")
+    found = keys.rare_keys(s1, rare, keys.NAME_WORD).groupBy("block_key").count()
+    assert rows_of(found) == [("us|hot", n // 3), ("us|name", n // 3)]
+    assert "skew=true" in plan_of(found).split("== Initial Plan ==")[0]
+
     # Each of the 3 records now meets a third of S1: that join is split too.
     features = pairs.group_features(groups, s1, others)
     total = features.agg(F.count("*").alias("n"), F.sum("address_contains").alias("same"))
