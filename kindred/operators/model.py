@@ -79,9 +79,10 @@ def score_pairs(matcher: Matcher | PipelineModel, features: DataFrame) -> DataFr
 def train(labelled: DataFrame, **options) -> tuple[Matcher, DataFrame]:
     """Fit on the train entities, choose the threshold on the validation entities.
 
-    Returns the matcher and the sweep table.
+    Returns the matcher and the sweep table. Rows that already carry their ``split`` may
+    be stored by it, so that each side reads only its own.
     """
-    split = with_split(labelled)
+    split = labelled if "split" in labelled.columns else with_split(labelled)
     model = fit_model(split.filter("split = 'train'"), **options)
     sweep = threshold_sweep(score_pairs(model, split.filter("split = 'validation'")))
     chosen = best_threshold(sweep).first().best_threshold

@@ -5,12 +5,14 @@ A finding is ``(rule, offender)``: the id or line that breaks the rule, once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.schemas import CANDIDATE_HEADER, MATCH_HEADER
-from kindred.sources.files import read_headers, read_lines
+from kindred.sources.files import read_headers, read_ids, read_lines
 
 EXAMPLES = 5
 
@@ -119,6 +121,14 @@ def match_targets(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.select("entity_id").union(s3.select("entity_id")).distinct()
 
 
+def read_match_targets(spark: SparkSession, s2_path: str, s3_path: str) -> DataFrame | None:
+    """The same from source files; None, which leaves the id check out, if one is missing."""
+    try:
+        return match_targets(read_ids(spark, s2_path), read_ids(spark, s3_path))
+    except AnalysisException:
+        return None
+
+
 # --- files ------------------------------------------------------------------
 
 
@@ -152,14 +162,11 @@ def file_findings(spark: SparkSession, path: str, expected: list[str]) -> DataFr
 
 
 def findings(
-    lines: DataFrame,
-    required: DataFrame,
-    valid_ids: DataFrame | None = None,
-    candidate_lines: DataFrame | None = None,
+    lines: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None
 ) -> DataFrame:
-    """All findings for one set of lines."""
+    """All findings on the lines of one file."""
     rows = parse_lines(lines)
-    found = (
+    return (
         row_findings(rows, required)
         .unionByName(id_findings(rows, valid_ids))
         .unionByName(
@@ -168,32 +175,30 @@ def findings(
             )
         )
     )
-    if candidate_lines is not None:
-        found = found.unionByName(subset_findings(rows, parse_lines(candidate_lines)))
-    return found
 
 
 def report(found: DataFrame) -> DataFrame:
-    """``(rule, severity, n, examples)``: the count of each rule's offenders and the
-    first few in order.
+    """``(rule, severity, n, examples)``, after ``file`` if findings name one: the count
+    of each rule's offenders and the first few in order.
 
     Findings are spread by rule and offender once; count and examples both read that
     exchange. Only the first few of a rule leave each task.
     """
-    found = found.repartition("rule", "offender")
-    order = Window.partitionBy("rule").orderBy("offender")
+    by = [c for c in ("file", "rule") if c in found.columns]
+    found = found.repartition(*by, "offender")
+    order = Window.partitionBy(*by).orderBy("offender")
     examples = (
         found.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= EXAMPLES)
-        .groupBy("rule")
+        .groupBy(*by)
         .agg(F.array_join(F.sort_array(F.collect_list("offender")), ", ").alias("examples"))
     )
     severity = F.when(F.col("rule").isin(WARNINGS), WARNING).otherwise(ERROR)
     return (
-        found.groupBy("rule")
+        found.groupBy(*by)
         .agg(F.count("*").alias("n"))
-        .join(examples, "rule")
-        .select("rule", severity.alias("severity"), "n", "examples")
+        .join(examples, by)
+        .select(*by, severity.alias("severity"), "n", "examples")
     )
 
 
@@ -204,26 +209,29 @@ def check_files(
     candidate_path: str | None = None,
     valid_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """The report on written files. Rules of a file with a broken header are skipped, as
-    its rows cannot be trusted; a missing candidate file is a warning."""
-    broken = file_findings(spark, matching_path, MATCH_HEADER)
-    if not broken.isEmpty():
-        return report(broken)
-    notes = [] if valid_ids is not None else [("id_check_off", matching_path)]
-    candidate_lines = None
-    found = None
+    """The report on a written match file and, if named, candidate file.
+
+    The rows of a file with a broken header are not looked at. A missing candidate file
+    and a skipped id check are warnings.
+    """
+    expected = {"matching": (matching_path, MATCH_HEADER)}
     if candidate_path:
-        trouble = file_findings(spark, candidate_path, CANDIDATE_HEADER)
+        expected["candidate"] = (candidate_path, CANDIDATE_HEADER)
+    lines: dict[str, DataFrame] = {}
+    found: list[DataFrame] = []
+    for file, (path, header) in expected.items():
+        trouble = file_findings(spark, path, header)
         first = trouble.first()
         if first is None:
-            candidate_lines = read_lines(spark, candidate_path)
-            found = findings(candidate_lines, required, valid_ids)
-        elif first.rule == "file_missing":
-            notes.append(("candidates_missing", candidate_path))
-        else:
-            found = trouble
-    lines = read_lines(spark, matching_path)
-    matching = findings(lines, required, valid_ids, candidate_lines)
-    found = matching if found is None else found.unionByName(matching).distinct()
-    extra = spark.createDataFrame(notes, "rule string, offender string")
-    return report(found.unionByName(extra))
+            lines[file] = read_lines(spark, path)
+            trouble = findings(lines[file], required, valid_ids)
+        elif file == "candidate" and first.rule == "file_missing":
+            trouble = trouble.withColumn("rule", F.lit("candidates_missing"))
+        found.append(trouble.withColumn("file", F.lit(file)))
+    if len(lines) == 2:
+        outside = subset_findings(*[parse_lines(lines[f]) for f in expected])
+        found.append(outside.withColumn("file", F.lit("matching")))
+    if valid_ids is None:
+        note = [("id_check_off", matching_path, "matching")]
+        found.append(spark.createDataFrame(note, "rule string, offender string, file string"))
+    return report(reduce(DataFrame.unionByName, found))

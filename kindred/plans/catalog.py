@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kindred.functions import text
 from kindred.operators import blocks, evaluate, keys, labels, lists, model, pairs, paging, quality
 from kindred.schemas import CANDIDATE_HEADER, FEATURES, MATCH_HEADER, PAIR_KEYS
-from kindred.session import work_path
+from kindred.session import stage, work_path
 from kindred.sources import files
 from kindred.sources.tables import DATASETS, Sources, sources, truth_lists
 
@@ -498,9 +498,10 @@ def _valid_ids(inputs: Sources) -> DataFrame:
 
 
 def _findings(inputs: Sources) -> DataFrame:
-    return quality.findings(
-        _faulty_lines(inputs), inputs.s1, _valid_ids(inputs), _candidate_lines(inputs)
-    )
+    lines = _faulty_lines(inputs)
+    rows, candidate_rows = map(quality.parse_lines, (lines, _candidate_lines(inputs)))
+    found = quality.findings(lines, inputs.s1, _valid_ids(inputs))
+    return found.unionByName(quality.subset_findings(rows, candidate_rows))
 
 
 def _rule_query(name: str, rule: str) -> None:
@@ -585,17 +586,14 @@ def dq_files(inputs):
 
 
 def _staged_features(inputs: Sources) -> DataFrame:
-    spark = _spark(inputs)
-    path = work_path(spark, "features")
-    files.write_parquet(_labelled_features(inputs, PAGES), path)
-    return spark.read.parquet(path)
+    return stage(labels.with_split(_labelled_features(inputs, PAGES)), "features", "split")
 
 
 @query(PAGES)
 def gbt_score(inputs):
     rows = _staged_features(inputs)
     matcher, _ = model.train(rows)
-    return model.score_pairs(matcher, rows).select(*PAIR_KEYS, "label", "probability")
+    return model.score_pairs(matcher, rows).select(*PAIR_KEYS, "label", "split", "probability")
 
 
 @query(PAGES)

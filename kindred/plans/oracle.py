@@ -281,10 +281,15 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
                                          FROM s2_truth) s
                           WHERE s.source1_entity_id = f.source1_entity_id AND s.id = f.id)""",
         "file_finding": """
-        SELECT 'unknown_id' AS rule, 'error' AS severity, entity_id AS offender FROM pair
+        SELECT 'matching' AS file, 'unknown_id' AS rule, 'error' AS severity, entity_id AS offender
+        FROM pair
         WHERE entity_id NOT IN (SELECT entity_id FROM rec WHERE source <> 's1' AND address IS NOT NULL)
         UNION
-        SELECT 'not_a_candidate', 'warning', source1_entity_id FROM pair WHERE entity_id LIKE 'S3-%'""",
+        SELECT 'candidate', 'unknown_id', 'error', entity_id FROM pair WHERE entity_id LIKE 'S2-%'
+           AND entity_id NOT IN (SELECT entity_id FROM rec WHERE source <> 's1' AND address IS NOT NULL)
+        UNION
+        SELECT 'matching', 'not_a_candidate', 'warning', source1_entity_id FROM pair
+        WHERE entity_id LIKE 'S3-%'""",
     }
 
 
@@ -356,9 +361,9 @@ def _offenders(rule: str) -> str:
     return _sql(f"SELECT offender FROM finding WHERE rule = '{rule}'", DOCUMENTS)
 
 
-def _report(source: str, severity: str) -> str:
+def _report(source: str, severity: str, columns: str = "rule") -> str:
     return f"""
-SELECT rule, {severity} AS severity, count(*) AS n,
+SELECT {columns}, {severity} AS severity, count(*) AS n,
        array_to_string(list(offender ORDER BY offender)[1:5], ', ') AS examples
 FROM {source} GROUP BY ALL"""
 
@@ -559,5 +564,5 @@ SELECT * FROM (VALUES
     ('unexpected_header', 'source1_entity_id' || chr(9) || 'candidate_entity_ids'),
     ('comma_header', 'source1_entity_id,candidate_entity_ids')) v(rule, offender)
 WHERE EXISTS (SELECT 1 FROM documents)""",
-    "dq_files": _sql(_report("file_finding", "severity"), DOCUMENTS),
+    "dq_files": _sql(_report("file_finding", "severity", "file, rule"), DOCUMENTS),
 }

@@ -59,9 +59,10 @@ def required(spark):
     return spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",)], "entity_id string")
 
 
-def report(spark, required, matching, **options):
+def report(spark, required, matching, file="matching", **options):
     found = quality.check_files(spark, matching, required, **options)
-    return {r.rule: (r.severity, r.n, r.examples) for r in found.collect()}
+    rows = [r for r in found.collect() if r.file == file]
+    return {r.rule: (r.severity, r.n, r.examples) for r in rows}
 
 
 def test_clean_file(spark, required, write):
@@ -102,7 +103,7 @@ def test_every_fault_is_found(spark, required, write):
     ],
 )
 def test_broken_files(spark, required, write, text, rule):
-    assert set(report(spark, required, write("m.tsv", text))) == {rule}
+    assert set(report(spark, required, write("m.tsv", text))) == {rule, "id_check_off"}
 
 
 def test_header_case_and_blanks_do_not_matter(spark, required, write):
@@ -111,12 +112,32 @@ def test_header_case_and_blanks_do_not_matter(spark, required, write):
 
 
 def test_missing_files(spark, required, write, tmp_path):
-    assert set(report(spark, required, str(tmp_path / "none.tsv"))) == {"file_missing"}
+    got = report(spark, required, str(tmp_path / "none.tsv"))
+    assert set(got) == {"file_missing", "id_check_off"}
     path = write("m.tsv", GOOD + "S1-1\t\nS1-2\t\nS1-3\t\n")
-    got = report(spark, required, path, candidate_path=str(tmp_path / "none.tsv"))
+    got = report(spark, required, path, "candidate", candidate_path=str(tmp_path / "none.tsv"))
     assert got["candidates_missing"][0] == "warning"
 
 
+def test_match_targets_of_files(spark, write, tmp_path):
+    s2 = write("s2.tsv", "entity_id\tx\nS2-1\ty\nS2-2\ty\n")
+    s3 = write("s3.tsv", "entity_id\tx\nS3-1\ty\nS2-1\ty\n")
+    assert rows_of(quality.read_match_targets(spark, s2, s3)) == [("S2-1",), ("S2-2",), ("S3-1",)]
+    assert quality.read_match_targets(spark, s2, str(tmp_path / "none.tsv")) is None
+
+
+def test_candidate_rows_are_checked_under_a_broken_match_file(spark, required, write):
+    path = write("m.tsv", "a,b\n")
+    candidates = write("c.tsv", "source1_entity_id\tcandidate_entity_ids\r\nS1-1\tS2-1,S2-1\r\nS1-2\tX-2\r\n")
+    assert set(report(spark, required, path, candidate_path=candidates)) == {"comma_header", "id_check_off"}
+    got = report(spark, required, path, "candidate", candidate_path=candidates)
+    assert got == {
+        "repeated_id": ("error", 1, "S1-1"),
+        "wrong_prefix": ("error", 1, "X-2"),
+        "missing_required": ("error", 1, "S1-3"),
+    }
+
+
 def test_report_keeps_counts_and_few_examples(spark):
     found = spark.range(1000).select(F.lit("extra_row").alias("rule"), F.format_string("S1-%04d", "id").alias("offender"))
     assert quality.report(found).first() == ("extra_row", "error", 1000, "S1-0000, S1-0001, S1-0002, S1-0003, S1-0004")

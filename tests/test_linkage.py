@@ -1,12 +1,15 @@
 """Training and prediction from files to files."""
 
+import math
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 
-from kindred.operators import model
+from kindred.operators import labels, model, quality
 from kindred.plans import linkage
-from kindred.session import work_path
+from kindred.schemas import FEATURES
+from kindred.session import stage, work_path
 from kindred.sources import files
 
 
@@ -62,8 +65,6 @@ def test_train_predict_and_check(spark, data):
     assert set(got) == set(truth)
     assert sum(got[k] == truth[k] for k in truth) > 0.9 * len(truth)
 
-    from kindred.operators import quality
-
     s1 = files.read_records(spark, paths[0])
     valid = quality.match_targets(*[files.read_records(spark, p) for p in paths[1:]])
     report = quality.check_files(spark, out, s1, candidates, valid)
@@ -73,9 +74,6 @@ def test_train_predict_and_check(spark, data):
 def test_training_is_repeatable(spark, data):
     paths, truth_path, _ = data
     s1, others = linkage.load_sources(spark, *paths)
-    from kindred.operators import labels
-    from kindred.session import stage
-
     truth = labels.true_pairs(files.read_truth(spark, truth_path))
     rows = stage(linkage.labelled_features(s1, others, truth), "features")
     fits = [model.fit_model(rows, rounds=2, depth=2, min_leaf=5) for _ in range(2)]
@@ -83,6 +81,23 @@ def test_training_is_repeatable(spark, data):
     assert scores[0] == scores[1]
 
 
+def test_scores_equal_the_trees(spark, data):
+    """The distributed score against the trees walked one row at a time."""
+    paths, truth_path, _ = data
+    s1, others = linkage.load_sources(spark, *paths)
+    truth = labels.true_pairs(files.read_truth(spark, truth_path))
+    rows = stage(linkage.labelled_features(s1, others, truth), "features")
+    fitted = model.fit_model(rows, rounds=5, depth=3, min_leaf=5)
+    boosted = fitted.stages[-1]
+    scored = model.score_pairs(fitted, rows).collect()
+    assert len({r.probability for r in scored}) > 3
+    for r in scored[:: max(1, len(scored) // 40)]:
+        vector = Vectors.dense([model.MISSING if r[f] is None else float(r[f]) for f in FEATURES])
+        trees = zip(boosted.treeWeights, boosted.trees)
+        margin = sum(weight * tree.predict(vector) for weight, tree in trees)
+        assert r.probability == pytest.approx(1 / (1 + math.exp(-2 * margin)))
+
+
 def test_link_by_rule(spark, data):
     paths, _, _ = data
     s1, others = linkage.load_sources(spark, *paths)
