@@ -32,8 +32,9 @@ def build_blocks(
     ``low`` or more than ``high`` uses. Both tests need a block only up to its bound, so
     blocks are cut by rank one past the bound; Spark applies such a cut before the
     exchange too, and a key shared by any share of the rows sends a bounded number of
-    them per task. One exchange serves the count of uses, the test of size, the removal
-    of duplicates and the lists.
+    them per task (for bounds up to ``spark.sql.optimizer.windowGroupLimitThreshold``,
+    1000 by default; beyond it the cut is made after the exchange). One exchange serves
+    the count of uses, the test of size, the removal of duplicates and the lists.
 
     Ranks of keys 1 to 4 run within a source and those of words over both, as uses are
     counted over both. A key of the first kind may thus give two rows, one per source.

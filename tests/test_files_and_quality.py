@@ -25,6 +25,11 @@ def test_tsv_is_read_as_it_is(spark, write):
         ("S1-1", '"Acme" \\Co', None, " US "), ("S1-2", "'x", 'y"', "DE")]
 
 
+def test_columns_are_found_by_name(spark, write):
+    path = write("s.tsv", "country\tentity_id\tnote\tbusiness_address\tbusiness_name\r\nUS\tS1-1\tx\t1 main\tAcme\r\n")
+    assert files.read_records(spark, path).collect() == [("S1-1", "Acme", "1 main", "US")]
+
+
 def test_results_are_written_sorted_with_empty_lists(spark, tmp_path):
     table = spark.createDataFrame([(f"S1-{i:03}", "" if i % 2 else "S2-1,S3-1") for i in range(200)],
                                   "source1_entity_id string, matched_entity_ids string")
