@@ -1,4 +1,4 @@
-"""The sixteen pair features as native expressions."""
+"""The sixteen pair features as SQL expressions."""
 
 from __future__ import annotations
 
@@ -9,25 +9,29 @@ from kindred.functions import parts
 from kindred.schemas import FEATURES
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+def _flag(test: str) -> str:
+    return f"CAST(CASE WHEN {test} THEN 1 ELSE 0 END AS BIGINT)"
 
 
-def _same(a: Column, b: Column, guard: bool = True) -> Column:
-    return _flag((a != "") & (a == b)) if guard else _flag(a == b)
+def _same(a: str, b: str, guard: bool = True) -> str:
+    return _flag(f"{a} <> '' AND {a} = {b}" if guard else f"{a} = {b}")
 
 
-def _contains(a: Column, b: Column) -> Column:
-    return _flag((a != "") & (b != "") & (a.contains(b) | b.contains(a)))
+def _contains(a: str, b: str) -> str:
+    return _flag(f"{a} <> '' AND {b} <> '' AND (contains({a}, {b}) OR contains({b}, {a}))")
 
 
-def _length_diff(a: Column, b: Column) -> Column:
-    return F.abs(a - b).cast("bigint")
+def _length_diff(a: str, b: str) -> str:
+    return f"CAST(abs({a} - {b}) AS BIGINT)"
 
 
-def _length_ratio(a: Column, b: Column) -> Column:
-    longest = F.greatest(a, b)
-    return F.when(longest == 0, F.lit(0.0)).otherwise(F.least(a, b).cast("double") / longest)
+def _length_ratio(a: str, b: str) -> str:
+    shortest, longest = f"least({a}, {b})", f"greatest({a}, {b})"
+    return f"CASE WHEN {longest} = 0 THEN 0.0D ELSE CAST({shortest} AS DOUBLE) / {longest} END"
+
+
+def _missing(a: str, b: str) -> str:
+    return _flag(f"{a} = '' OR {b} = ''")
 
 
 # What the features compare, worked out once per record: a record is part of many pairs.
@@ -58,7 +62,7 @@ def feature_columns(left: str, right: str, guard_empty: bool = True) -> list[Col
     """
 
     def sides(part):
-        return F.col(left + part), F.col(right + part)
+        return left + part, right + part
 
     values = {
         "country_match": _same(*sides("country")),
@@ -75,7 +79,7 @@ def feature_columns(left: str, right: str, guard_empty: bool = True) -> list[Col
         "address_contains": _contains(*sides("address")),
         "address_length_diff": _length_diff(*sides("address_length")),
         "address_length_ratio": _length_ratio(*sides("address_length")),
-        "name_missing": _flag((F.col(left + "name") == "") | (F.col(right + "name") == "")),
-        "address_missing": _flag((F.col(left + "address") == "") | (F.col(right + "address") == "")),
+        "name_missing": _missing(*sides("name")),
+        "address_missing": _missing(*sides("address")),
     }
-    return [values[f].alias(f) for f in FEATURES]
+    return [F.expr(values[f]).alias(f) for f in FEATURES]

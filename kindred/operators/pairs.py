@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.features import feature_columns, record_parts
 from kindred.operators.blocks import explode_groups
-from kindred.schemas import FEATURES, PAIR_KEYS
+from kindred.schemas import PAIR_KEYS
 
 _LEFT, _RIGHT = "left_", "right_"
 
@@ -67,11 +67,8 @@ SCORE_WEIGHTS = {
 
 def rule_score(features: DataFrame) -> DataFrame:
     """``features`` with a fixed weighted sum in ``probability``, for use without a model."""
-    assert set(SCORE_WEIGHTS) <= set(FEATURES)
-    score = F.lit(0.0)
-    for feature, weight in SCORE_WEIGHTS.items():
-        score = score + F.lit(weight) * F.coalesce(F.col(feature).cast("double"), F.lit(0.0))
-    return features.withColumn("probability", score)
+    terms = [f"{w}D * coalesce(CAST({f} AS DOUBLE), 0.0D)" for f, w in SCORE_WEIGHTS.items()]
+    return features.withColumn("probability", F.expr(" + ".join(["0.0D", *terms])))
 
 
 def accepted(scored: DataFrame, threshold) -> DataFrame:
