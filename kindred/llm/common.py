@@ -49,6 +49,14 @@ def native_words(text: Column) -> Column:
     )
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, or that with underscores in front, so that no column is called so."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``SLICE_BYTES`` of ``column``."""
     for batch in batches:

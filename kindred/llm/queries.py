@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from kindred.llm import packing, token_files
+from kindred.llm import decontaminate, near_dup, packing, quality, token_files
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_near_duplicates": near_dup.op2_near_duplicates,
+    "op4_quality_rules": quality.op4_quality_rules,
     "op5_token_files": token_files.op5_token_files,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_benchmark_decontamination": decontaminate.ORACLE,
+}
