@@ -1,0 +1,142 @@
+"""Secret scans: patterns, and strings that zstandard cannot explain from what is near.
+
+Base spans are those of three patterns. The method adds ``novel`` spans: a run of sign-free
+characters that follows a sensitive word on its line is a candidate. Its surroundings and a
+dictionary of common identifiers prime a zstandard compressor; what the candidate adds to the
+compressed length, per character, is its novelty. Names, paths, repeated strings and words
+compress against the prime; keys do not. Candidates with letters and digits whose novelty is
+``NOVELTY`` or more are reported, unless a base span already covers a part of them.
+
+Spans count code points, the end is exclusive. A null text is empty and has no span. Long
+texts are scanned whole; the prime is ``AROUND`` characters to either side of a candidate.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pandas as pd
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kindred.llm import common
+
+# The patterns, in the order of their kinds. Case only matters where ASCII has it.
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{32,}")
+KINDS = ["assign", "access", "hex", "novel"]
+
+# A text without any of these, lower-cased, has no assignment.
+ASSIGN_WORDS = [b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey"]
+SENSITIVE_WORDS = [
+    b"pass", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"api key", b"credential",
+    b"auth", b"bearer", b"private", b"access", b"signature", b"webhook", b"license key",
+]
+SENSITIVE = re.compile(
+    r"(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_ -]?key|credentials?|auth(?:orization)?"
+    r"|bearer|private[_ -]?key|access[_ -]?key|signature|webhook|license[_ -]?key)(?![a-z])"
+    r"""[^\n]{0,24}?(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{16,})""",
+    re.I | re.A,
+)
+IDENTIFIERS = (
+    "self return import from class function const static public private string int float bool null none true false "
+    "password passwd secret token api_key apikey access_key private_key client_id client_secret bearer authorization "
+    "username user_name email address config settings default value example placeholder changeme your_token_here "
+    "https http www com org net html localhost 127.0.0.1 usr bin etc home var tmp index main test data file name "
+    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxx 00000000000000000000"
+).encode()
+
+AROUND = 1024
+NOVELTY = 0.8
+REPLACEMENT = "[SECRET]"
+
+
+def novelty(candidate: str, before: str, after: str) -> float:
+    """Compressed bytes that ``candidate`` adds, per byte, next to its surroundings."""
+    prime = IDENTIFIERS + b"\n" + after.encode() + b"\n" + before.encode()
+    compressor = zstandard.ZstdCompressor(
+        level=9, dict_data=zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+        write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
+    raw = candidate.encode()
+    return (len(compressor.compress(raw)) - len(compressor.compress(b""))) / len(raw)
+
+
+def spans_of(text: str) -> list[tuple[int, int, int]]:
+    """``(start, kind, end)`` of every span, in order."""
+    found = []
+    folded = text.encode().lower()
+    if any(word in folded for word in ASSIGN_WORDS):
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    if b"akia" in folded:
+        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
+    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    if any(word in folded for word in SENSITIVE_WORDS):
+        base = sorted(found)
+        for m in SENSITIVE.finditer(text):
+            start, end = m.span(1)
+            candidate = m.group(1)
+            if not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
+                continue
+            if any(s < end and start < e for s, _, e in base):
+                continue
+            if novelty(candidate, text[max(0, start - AROUND) : start], text[end : end + AROUND]) >= NOVELTY:
+                found.append((start, 3, end))
+    return sorted(found)
+
+
+def _joined(spans) -> str:
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
+
+
+SCAN = "n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string"
+
+
+@F.pandas_udf(SCAN)
+def scan(texts: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text in texts:
+        found = spans_of(text or "")
+        base = _joined(s for s in found if s[1] < 3)
+        rows.append(
+            (*(sum(k == kind for _, k, _ in found) for kind in range(4)),
+             hashlib.sha256(base.encode()).hexdigest(), _joined(found))
+        )
+    return pd.DataFrame(rows, columns=[f.split()[0] for f in SCAN.split(", ")])
+
+
+def redact(text: str) -> str:
+    """``text`` with every span, overlapping ones together, replaced by a marker."""
+    out, at = [], 0
+    for start, _, end in spans_of(text):
+        if start >= at:
+            out += [text[at:start], REPLACEMENT]
+        at = max(at, end)
+    return "".join(out) + text[at:] if out else text
+
+
+@F.pandas_udf("string")
+def redacted_text(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda text: text if text is None else redact(text))
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the counts, the digest of the base spans, and all spans, per row."""
+    found = common.texts(docs).select("doc_id", scan("text").alias("found"))
+    return found.select("doc_id", "found.*")
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with all secrets in ``text`` replaced; all columns and rows are kept, and
+    ``n_chars``, where there is one, is that of the new text."""
+    out = docs.withColumn("text", redacted_text(F.col("text").cast("string")))
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def op3_secret_scans(spark, sf_dir: str) -> DataFrame:
+    return scanned(common.table(spark, sf_dir, "documents"))
