@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, length: int = SEQUENCE, vocabulary: str | None = Non
         encoder = tokens.encoder(vocabulary)
         for batch in common.slices(batches):
             rows = []
-            encoded = encoder.encode(batch.column("text").to_pylist())
+            encoded = encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]

@@ -175,7 +175,7 @@ def write(
             )
 
         for batch in common.slices(batches):
-            encoded = encoder.encode(batch.column("text").to_pylist())
+            encoded = encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 if writer is None:
                     writer = Writer(f"{folder}/part-{part:06d}-{number:05d}.ids", width, ids_per_block)

@@ -9,6 +9,8 @@ too), and full stops and commas after a letter or digit are looked up on their o
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 
 import numpy as np
 
@@ -16,6 +18,7 @@ END_ID = 1
 CACHE_WORDS = 1_000_000  # words a worker keeps before it starts afresh
 
 _STOPS = b".,"
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 class WordEncoder:
@@ -34,36 +37,39 @@ class WordEncoder:
     def _encode(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         for word, encoding in zip(words, found):
-            self.words[word] = np.array(encoding.ids, "<u4").tobytes()
+            ids = array("I", encoding.ids)
+            self.words[word] = (ids if _NATIVE else np.array(ids, "<u4")).tobytes()
 
-    def _learn(self, missing: list[bytes]) -> None:
-        whole, split = set(), []
+    def _learn(self, missing: set[bytes]) -> None:
+        whole, parts, split = [], set(), []
         for word in missing:
             core = word.rstrip(_STOPS)
             # After a sign the stops would be one token with it, and '<|' may begin a
             # special token, so only what follows an ASCII letter or digit is split off.
-            if len(core) < len(word) and core[-1:].isalnum() and b"<|" not in core:
-                split.append((word, core, word[len(core):]))
-                whole.update(x for x in (core, word[len(core):]) if x not in self.words)
+            if core != word and core[-1:].isalnum() and b"<|" not in core:
+                stops = word[len(core) :]
+                split.append((word, core, stops))
+                parts.add(core)
+                parts.add(stops)
             else:
-                whole.add(word)
-        self._encode(list(whole))
+                whole.append(word)
+        parts -= self.words.keys()
+        parts.update(whole)
+        self._encode(list(parts))
+        known = self.words
         for word, core, stops in split:
-            self.words[word] = self.words[core] + self.words[stops]
+            known[word] = known[core] + known[stops]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, followed by the end id."""
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, given in UTF-8, followed by the end id."""
         if len(self.words) > self.cache_words:
             self.words.clear()
-        split = []
-        for text in texts:
-            raw = text.encode()
-            # Special tokens are found before case is folded.
-            split.append((raw if b"<|" in raw else raw.lower()).split())
+        # Special tokens are found before case is folded.
+        split = [(raw if b"<|" in raw else raw.lower()).split() for raw in texts]
         known = self.words
-        missing = {w for words in split for w in words if w not in known}
+        missing = set().union(*split) - known.keys()
         if missing:
-            self._learn(list(missing))
+            self._learn(missing)
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 
