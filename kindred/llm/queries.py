@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from kindred.llm import decontaminate, near_dup, packing, quality, token_files
+from kindred.llm import (
+    chat, decontaminate, near_dup, packing, ppm, quality, secret_scan, token_files, toxicity, warc,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_near_duplicates": near_dup.op2_near_duplicates,
+    "op3_secret_scans": secret_scan.op3_secret_scans,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_token_files": token_files.op5_token_files,
+    "op6_warc": warc.op6_warc,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_lm_scoring": ppm.op8_lm_scoring,
+    "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_warc": warc.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
 }

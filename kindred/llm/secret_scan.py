@@ -20,6 +20,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kindred.llm import common
 
@@ -94,7 +95,11 @@ def _joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-SCAN = "n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string"
+COUNTS = ["n_assign", "n_access", "n_hex", "n_novel"]
+SCAN = T.StructType(
+    [T.StructField(c, T.LongType()) for c in COUNTS]
+    + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
+)
 
 
 @F.pandas_udf(SCAN)
@@ -107,7 +112,7 @@ def scan(texts: pd.Series) -> pd.DataFrame:
             (*(sum(k == kind for _, k, _ in found) for kind in range(4)),
              hashlib.sha256(base.encode()).hexdigest(), _joined(found))
         )
-    return pd.DataFrame(rows, columns=[f.split()[0] for f in SCAN.split(", ")])
+    return pd.DataFrame(rows, columns=SCAN.names)
 
 
 def redact(text: str) -> str:
@@ -120,7 +125,7 @@ def redact(text: str) -> str:
     return "".join(out) + text[at:] if out else text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def redacted_text(texts: pd.Series) -> pd.Series:
     return texts.map(lambda text: text if text is None else redact(text))
 
