@@ -136,7 +136,7 @@ def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH i AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM benchmark
 ), s AS (
   SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS h
@@ -145,7 +145,7 @@ WITH i AS (
 ), n AS (
   SELECT item_id, k, count(*) AS n_item FROM s GROUP BY ALL
 ), d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), t AS (
   SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS h

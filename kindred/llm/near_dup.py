@@ -202,7 +202,8 @@ def class_links(classes: DataFrame, docs: DataFrame, size: int, row: str, percen
         .join(first, ["a", "b"], "left_anti")
     )
     more = _confirmed(second, classes, docs, size, row, percent)
-    return components(links.union(more))
+    # The components of the first round are stars already.
+    return components(found.where("node <> root").toDF("a", "b").union(more))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, row: str = "row", percent: int = SIMILARITY) -> DataFrame:
@@ -254,3 +255,34 @@ def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id").eqNullSafe(F.col("component_id")), F.lit(False)).alias("kept"),
     )
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY ALL
+), both_have AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y USING (h) WHERE x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM both_have JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), near AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT near.b, reach.root FROM reach JOIN near ON near.a = reach.node
+), lowest AS (
+  SELECT node, min(root) AS component_id FROM reach GROUP BY ALL
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN lowest ON node = d.doc_id
+"""

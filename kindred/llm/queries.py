@@ -20,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_near_duplicates": near_dup.ORACLE,
     "op6_warc": warc.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
 }

@@ -239,11 +239,11 @@ WITH p AS (
 ), d AS (
   SELECT page_id, strlen(html) AS payload_bytes, hex,
          min(page_id) OVER (PARTITION BY hex) AS first,
-         list_transform(range(0, 8), i -> CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)) AS groups
+         list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)) AS groups
   FROM p
 )
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-       list_aggregate(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          CAST((groups[CAST(k // 4 AS INTEGER) + 1] >> (5 * (3 - k % 4))) & 31 AS INTEGER) + 1, 1)), 'string_agg', '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
