@@ -1,15 +1,17 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled texts of the training folds. The ordinary
-one is trained on windows of ordinary texts. The toxic one holds the same bytes and, before
-them, the words that ordinary text does not account for: those with far more different
+one is trained on windows of ordinary texts. The toxic one holds the same bytes and after
+them the windows that ordinary texts do not account for: those that have far more different
 neighbours in toxic than in ordinary texts. Neighbours are counted, not occurrences, so that
 copies of one text add nothing.
 
-A text is cut into windows of ``WINDOW`` words; each is compressed with either dictionary.
-Both share the ordinary bytes at the same distances, so the lengths of an ordinary window
-agree, and a window gains only where the toxic dictionary explains it. The gains of a text,
-and its number of windows, go to a logistic scale that is calibrated on the training folds.
+A window is a word, case folded and cut to its first ``STEM`` characters, so that endings do
+not matter, and repeated up to ``FILL`` bytes, as a frame's fixed cost hides what a few bytes
+save. Each window of a text is compressed with either dictionary. The lengths of an ordinary
+window agree; a window gains where only the toxic dictionary holds it. The number of windows
+that gain ``GAIN`` bytes or more, their sum, and the number of words go to a logistic scale
+that is calibrated on the training folds.
 
 The fit uses at most ``FIT_ROWS`` labelled rows of either class, those with the smallest
 hashes of their ids, of at most ``FIT_CHARS`` characters; scores cover every whole text.
@@ -20,7 +22,7 @@ classes every score is 0. A null text is empty and scores what a text without ga
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,20 +33,27 @@ from pyspark.sql import functions as F
 
 from kindred.llm import common
 
-WINDOW = 8
+STEM = 4
+FILL = 24
+GAIN = 3
 LEVEL = 6
-DICTIONARY_BYTES = 16384
+DICTIONARY_BYTES = 8192
 FIT_ROWS = 2000
 FIT_CHARS = 20_000
 FIT_WINDOWS = 60_000  # windows the ordinary dictionary is trained on
-LIFT = 20.0  # how much more often, per text, a toxic word must have a new neighbour
+LIFT = 20.0  # how much more often, per text, a toxic stem must have a new neighbour
+KEPT_GAINS = 500_000  # stems whose gains a worker keeps
 REJECT = 0.7
-STRIPPED = b".,;:!?\"'()"
+STRIPPED = ".,;:!?\"'()"
 
 
-def windows(text: str) -> list[bytes]:
-    words = text.encode().lower().split()
-    return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)]
+def stems(text: str) -> list[str]:
+    return [word.strip(STRIPPED)[:STEM] for word in text.lower().split()]
+
+
+def window(stem: str) -> bytes:
+    raw = (stem + " ").encode()
+    return (raw * (FILL // len(raw) + 1))[:FILL]
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -55,36 +64,37 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def ordinary_dictionary(texts: list[str]) -> bytes:
-    samples = [w for text in texts for w in windows(text)][:FIT_WINDOWS]
+    counts = Counter(stem for text in texts for stem in stems(text))
+    # Common stems weigh more, but not so much that they are all that is trained on.
+    samples = [window(stem) for stem, n in counts.items() for _ in range(min(n, 20))][:FIT_WINDOWS]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: they are the dictionary
-        return b"".join(samples)[-DICTIONARY_BYTES:].rjust(8)
+        return b"".join(map(window, counts))[-DICTIONARY_BYTES:].rjust(8)
 
 
-def _neighbours(texts: set[str]) -> dict[bytes, int]:
-    """For each word the number of different words it follows."""
+def _neighbours(texts: set[str]) -> dict[str, int]:
+    """For each stem the number of different stems it follows."""
     before = defaultdict(set)
     for text in texts:
-        last = b""
-        for word in text.encode().lower().split():
-            word = word.strip(STRIPPED)
-            before[word].add(last)
-            last = word
-    return {word: len(found) for word, found in before.items()}
+        last = ""
+        for stem in stems(text):
+            before[stem].add(last)
+            last = stem
+    return {stem: len(found) for stem, found in before.items()}
 
 
-def unexplained_words(toxic: list[str], ordinary: list[str]) -> bytes:
-    """The words that set toxic texts apart, the most telling ones last."""
+def unexplained_windows(toxic: list[str], ordinary: list[str]) -> bytes:
+    """The windows that set toxic texts apart, the most telling ones last."""
     toxic, ordinary = set(toxic), set(ordinary)
     theirs, ours = _neighbours(toxic), _neighbours(ordinary)
     lifted = {
-        word: n for word, n in theirs.items()
-        if len(word) > 2 and n / len(toxic) >= LIFT * (ours.get(word, 0) + 0.5) / len(ordinary)
+        stem: n for stem, n in theirs.items()
+        if len(stem) > 2 and n / len(toxic) >= LIFT * (ours.get(stem, 0) + 0.5) / len(ordinary)
     }
-    least = max(5, max(lifted.values(), default=0) / 8)
-    chosen = sorted((n, word) for word, n in lifted.items() if n >= least)
-    return b"".join(b" " + word for _, word in chosen[-1000:]) + b" "
+    least = max(5, max(lifted.values(), default=0) / 16)
+    chosen = sorted((n, stem) for stem, n in lifted.items() if n >= least)
+    return b"".join(window(stem) for _, stem in chosen[-1000:])
 
 
 @dataclass(frozen=True)
@@ -94,19 +104,23 @@ class Classifier:
     weights: tuple[float, ...]  # of the constant and the features
 
     def gains(self, text: str) -> list[int]:
-        plain, marked = _compressors(self)
-        return [len(plain.compress(w)) - len(marked.compress(w)) for w in windows(text)]
+        known, plain, marked = _compressors(self)
+        found = []
+        for stem in stems(text):
+            if stem not in known:
+                if len(known) > KEPT_GAINS:
+                    known.clear()
+                raw = window(stem)
+                known[stem] = len(plain.compress(raw)) - len(marked.compress(raw))
+            found.append(known[stem])
+        return found
 
     def features(self, text: str) -> list[float]:
         gains = self.gains(text)
-        clear = [g for g in gains if g >= 2]
+        clear = [g for g in gains if g >= GAIN]
         return [
-            1.0,
-            min(max(gains, default=0), 12) / 4,
-            math.log1p(sum(clear)),
-            math.log1p(len(clear)),
-            math.log1p(len(clear)) / math.log1p(1 + len(gains)),
-            math.log1p(len(gains)) / 4,
+            1.0, math.log1p(len(clear)), math.log1p(sum(clear)) / 4, float(len(clear) > 1),
+            math.log1p(len(clear)) / math.log1p(1 + len(gains)), math.log1p(len(gains)) / 4,
         ]
 
     def score(self, text: str) -> float:
@@ -122,7 +136,7 @@ _ready: dict[Classifier, tuple] = {}
 def _compressors(model: Classifier):
     if model not in _ready:
         _ready.clear()
-        _ready[model] = _compressor(model.ordinary), _compressor(model.toxic)
+        _ready[model] = {}, _compressor(model.ordinary), _compressor(model.toxic)
     return _ready[model]
 
 
@@ -146,7 +160,7 @@ def fit(rows: list[tuple[str, int]], toxic_share: float) -> Classifier:
     if not toxic or not ordinary:
         return Classifier(b"", b"", ())
     base = ordinary_dictionary(ordinary)
-    model = Classifier(base, unexplained_words(toxic, ordinary) + base, ())
+    model = Classifier(base, base + unexplained_windows(toxic, ordinary), ())
     y = np.array([label for _, label in rows], float)
     x = np.array([model.features(text) for text, _ in rows])
     weight = np.where(y == 1, toxic_share / len(toxic), (1 - toxic_share) / len(ordinary)) * len(rows)
