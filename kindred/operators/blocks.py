@@ -75,22 +75,20 @@ def by_source(lists: DataFrame, *keys: str) -> DataFrame:
 def candidate_groups(s1: DataFrame, blocks: DataFrame, guard_empty: bool = True) -> DataFrame:
     """Candidates of each S1 entity that has any: ``(source1_entity_id, s2_ids, s3_ids)``.
 
-    Ids travel in the lists of their blocks and are merged per entity, so an S1 id is
-    written once per key and not once per pair. A list holds at most ``cap`` ids per key
-    of the entity. The S1 side is not capped: a key that very many S1 records share is
-    split by adaptive execution, as both inputs of the join come straight from their own
-    exchange (blocks are partitioned by scope too).
+    Ids travel in the lists of their blocks and are merged per entity in sets, in each
+    task first, so an id an entity meets by many keys is held once. The S1 side is not
+    capped: a key that very many S1 records share is split by adaptive execution, as both
+    inputs of the join come straight from their own exchange (blocks are partitioned by
+    scope too).
     """
     keys = record_keys(s1, guard_empty=guard_empty)
+    met = keys.join(blocks, ["key_type", "block_key"]).select("entity_id", "s2_ids", "s3_ids")
+    ids = by_source(met, "entity_id").select("entity_id", "source", F.explode("entity_ids").alias("id"))
 
-    def merged(name):
-        return F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
+    def merged(tag):
+        return F.collect_set(F.when(F.col("source") == tag, F.col("id"))).alias(f"{tag}_ids")
 
-    return (
-        keys.join(blocks, ["key_type", "block_key"])
-        .groupBy(F.col("entity_id").alias("source1_entity_id"))
-        .agg(merged("s2_ids"), merged("s3_ids"))
-    )
+    return ids.groupBy(F.col("entity_id").alias("source1_entity_id")).agg(merged("s2"), merged("s3"))
 
 
 def explode_groups(groups: DataFrame) -> DataFrame:

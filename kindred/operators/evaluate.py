@@ -27,7 +27,8 @@ def f_half(tp: Column, fp: Column, fn: Column) -> Column:
 
 def candidates_per_s1(s1: DataFrame, groups: DataFrame) -> DataFrame:
     """``(source1_entity_id, n_candidates)`` for every S1 entity, zero included."""
-    size = F.coalesce(F.size("s2_ids") + F.size("s3_ids"), F.lit(0)).cast("bigint")
+    # array_size of NULL is NULL in any mode; size of NULL may be -1.
+    size = F.coalesce(F.array_size("s2_ids") + F.array_size("s3_ids"), F.lit(0)).cast("bigint")
     ids = s1.select(F.col("entity_id").alias("source1_entity_id")).distinct()
     return ids.join(groups, "source1_entity_id", "left").select(
         "source1_entity_id", size.alias("n_candidates")
@@ -40,43 +41,44 @@ def zero_candidate_s1(s1: DataFrame, groups: DataFrame) -> DataFrame:
     return ids.join(groups, "source1_entity_id", "left_anti")
 
 
-def found_truth(truth: DataFrame, groups: DataFrame) -> DataFrame:
-    """True pairs with ``found``: 1 if the pair is among the candidates.
+def truth_per_s1(labelled: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(source1_entity_id, n_true, n_found)`` for entities with a true pair.
 
-    The lookup is in the candidate list of the entity, so candidates stay in lists.
+    ``labelled`` has the candidates, ``counts`` the true pairs of each entity. Both meet
+    as one row per entity.
     """
-    hit = F.array_contains("s2_ids", F.col("entity_id")) | F.array_contains(
-        "s3_ids", F.col("entity_id")
-    )
-    return truth.join(groups, "source1_entity_id", "left").select(
-        "source1_entity_id",
-        "entity_id",
-        F.coalesce(hit, F.lit(False)).cast("bigint").alias("found"),
-    )
-
-
-def truth_per_s1(truth: DataFrame, groups: DataFrame) -> DataFrame:
-    """``(source1_entity_id, n_true, n_found)`` for entities with a true pair."""
-    return (
-        found_truth(truth, groups)
-        .groupBy("source1_entity_id")
-        .agg(F.count("*").alias("n_true"), F.sum("found").alias("n_found"))
+    found = labelled.groupBy("source1_entity_id").agg(F.sum(F.col("label").cast("bigint")).alias("n_found"))
+    return counts.join(found, "source1_entity_id", "left").select(
+        "source1_entity_id", "n_true", F.coalesce("n_found", F.lit(0)).alias("n_found")
     )
 
 
-def pair_recall(truth: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_recall(labelled: DataFrame, counts: DataFrame) -> DataFrame:
     """True pairs, those found by blocking, and their share."""
     return (
-        found_truth(truth, groups)
-        .agg(F.count("*").alias("true_pairs"), F.coalesce(F.sum("found"), F.lit(0)).alias("found_pairs"))
+        truth_per_s1(labelled, counts)
+        .agg(
+            F.coalesce(F.sum("n_true"), F.lit(0)).alias("true_pairs"),
+            F.coalesce(F.sum("n_found"), F.lit(0)).alias("found_pairs"),
+        )
         .withColumn("pair_recall", _ratio(F.col("found_pairs").cast("double"), F.col("true_pairs")))
     )
 
 
-def blocking_metrics(s1: DataFrame, groups: DataFrame, truth: DataFrame) -> DataFrame:
-    """All blocking figures in one row, from one pass over the S1 entities."""
-    per_s1 = candidates_per_s1(s1, groups).join(
-        truth_per_s1(truth, groups), "source1_entity_id", "left"
+def blocking_metrics(s1: DataFrame, labelled: DataFrame, counts: DataFrame) -> DataFrame:
+    """All blocking figures in one row, from one pass over the labelled candidates."""
+    met = labelled.groupBy("source1_entity_id").agg(
+        F.count("*").alias("n_candidates"), F.sum(F.col("label").cast("bigint")).alias("n_found")
+    )
+    ids = s1.select(F.col("entity_id").alias("source1_entity_id")).distinct()
+    per_s1 = (
+        ids.join(met, "source1_entity_id", "left")
+        .join(counts, "source1_entity_id", "left")
+        .select(
+            F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"),
+            "n_true",
+            F.when(F.col("n_true").isNotNull(), F.coalesce("n_found", F.lit(0))).alias("n_found"),
+        )
     )
     n_true, n_found = F.col("n_true"), F.col("n_found")
 
@@ -164,48 +166,37 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     )
 
 
-def entity_f05(s1: DataFrame, matches: DataFrame, truth: DataFrame) -> DataFrame:
+def entity_f05(s1: DataFrame, matches: DataFrame, counts: DataFrame) -> DataFrame:
     """True and false positives, misses and F0.5 of every S1 entity.
 
-    True pairs lost in blocking count as misses. An entity with no truth and no match
-    scores 1.
+    ``matches`` are accepted pairs with their ``label``. True pairs lost in blocking count
+    as misses. An entity with no truth and no match scores 1.
     """
-    predicted = matches.select(
-        "source1_entity_id",
-        F.col("candidate_entity_id").alias("entity_id"),
-        F.lit(1).alias("predicted"),
-        F.lit(0).alias("actual"),
-    )
-    actual = truth.select(
-        "source1_entity_id", "entity_id", F.lit(0).alias("predicted"), F.lit(1).alias("actual")
-    )
-    per_pair = (
-        predicted.unionByName(actual)
-        .groupBy("source1_entity_id", "entity_id")
-        .agg(F.max("predicted").alias("predicted"), F.max("actual").alias("actual"))
-    )
-
-    def count(p, t):
-        return F.count_if((F.col("predicted") == p) & (F.col("actual") == t))
-
-    per_entity = per_pair.groupBy("source1_entity_id").agg(
-        count(1, 1).alias("tp"), count(1, 0).alias("fp"), count(0, 1).alias("fn")
+    label = F.col("label").cast("bigint")
+    per_entity = (
+        matches.select("source1_entity_id", "candidate_entity_id", label.alias("label")).distinct()
+        .groupBy("source1_entity_id").agg(F.sum("label").alias("tp"), F.sum(1 - F.col("label")).alias("fp"))
     )
     ids = s1.select(F.col("entity_id").alias("source1_entity_id"))
-    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("tp", "fp", "fn")]
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     score = F.when(tp + fp + fn == 0, F.lit(1.0)).otherwise(f_half(tp, fp, fn))
     return (
         ids.join(per_entity, "source1_entity_id", "left")
-        .select("source1_entity_id", *counts)
+        .join(counts, "source1_entity_id", "left")
+        .select(
+            "source1_entity_id",
+            F.coalesce("tp", F.lit(0)).alias("tp"),
+            F.coalesce("fp", F.lit(0)).alias("fp"),
+            (F.coalesce("n_true", F.lit(0)) - F.coalesce("tp", F.lit(0))).alias("fn"),
+        )
         .withColumn("f05", score)
     )
 
 
-def macro_f05(s1: DataFrame, matches: DataFrame, truth: DataFrame) -> DataFrame:
+def macro_f05(s1: DataFrame, matches: DataFrame, counts: DataFrame) -> DataFrame:
     """F0.5 averaged over S1 entities."""
-    return entity_f05(s1, matches, truth).agg(
-        F.count("*").alias("entities"), F.round(F.avg("f05"), 9).alias("macro_f05")
+    return entity_f05(s1, matches, counts).agg(
+        F.count("*").alias("entities"), F.avg("f05").alias("macro_f05")
     )
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.operators.blocks import explode_groups
+from kindred.schemas import PAIR_KEYS
+
 SPLIT_BUCKETS = 5
 
 
@@ -43,6 +46,48 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
+def label_groups(groups: DataFrame, truth: DataFrame) -> DataFrame:
+    """Pairs of ``groups`` labelled by the comma lists of ``truth``. An entity's list is met
+    before its candidates are exploded, so no pair is moved for its label."""
+    ids = F.transform(F.split("matched_entity_ids", ","), F.trim)
+    listed = truth.groupBy("source1_entity_id").agg(F.flatten(F.collect_set(ids)).alias("true_ids"))
+    pairs = explode_groups(groups.join(listed, "source1_entity_id", "left"))
+    known = F.coalesce(F.array_contains("true_ids", F.col("candidate_entity_id")), F.lit(False))
+    return pairs.withColumn("label", known.cast("int")).drop("true_ids")
+
+
+def label_by_key(groups: DataFrame, s1: DataFrame, others: DataFrame, key: Column) -> DataFrame:
+    """Pairs of ``groups`` with ``label`` 1 where both records have the same ``key``.
+
+    The S1 key is joined before the groups are exploded; the pairs move once.
+    """
+    left = s1.select(F.col("entity_id").alias("source1_entity_id"), key.alias("left_key"))
+    right = others.select(F.col("entity_id").alias("candidate_entity_id"), "source", key.alias("right_key"))
+    pairs = explode_groups(groups.join(left, "source1_entity_id"))
+    same = F.coalesce(F.col("left_key") == F.col("right_key"), F.lit(False))
+    return pairs.join(right, ["candidate_entity_id", "source"]).select(
+        *PAIR_KEYS, same.cast("int").alias("label")
+    )
+
+
+def true_counts(s1: DataFrame, others: DataFrame, key: Column) -> DataFrame:
+    """``(source1_entity_id, n_true)`` for entities with a true pair: the size of the group
+    of equal keys, without listing its pairs."""
+    # The constant keeps the counts from being partitioned as the join needs them, so both
+    # sides of it are plain exchanges, which adaptive execution can split.
+    sizes = others.groupBy(key.alias("key"), F.length("country").alias("length")).agg(F.count("*").alias("n"))
+    return (
+        s1.select(F.col("entity_id").alias("source1_entity_id"), key.alias("key"))
+        .join(sizes.select("key", "n"), "key")
+        .groupBy("source1_entity_id").agg(F.sum("n").alias("n_true"))
+    )
+
+
+def counts_of(truth: DataFrame) -> DataFrame:
+    """The same from true pairs."""
+    return truth.groupBy("source1_entity_id").agg(F.count("*").alias("n_true"))
+
+
 def label_counts(labelled: DataFrame) -> DataFrame:
     """Positive, negative and total pairs in one row."""
     return labelled.agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.features import feature_columns, record_parts
@@ -17,16 +17,23 @@ def candidate_records(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.withColumn("source", F.lit("s2")).unionByName(s3.withColumn("source", F.lit("s3")))
 
 
-def _s1_side(s1: DataFrame) -> DataFrame:
-    return s1.select(F.col("entity_id").alias("source1_entity_id"), *record_parts(_LEFT))
+def _s1_side(s1: DataFrame, key: Column | None = None) -> DataFrame:
+    keyed = [] if key is None else [key.alias(f"{_LEFT}key")]
+    return s1.select(F.col("entity_id").alias("source1_entity_id"), *record_parts(_LEFT), *keyed)
 
 
-def _compare(pairs: DataFrame, others: DataFrame, guard_empty: bool) -> DataFrame:
+def _compare(
+    pairs: DataFrame, others: DataFrame, guard_empty: bool, key: Column | None = None
+) -> DataFrame:
     """Features of ``pairs`` that already hold the parts of their S1 record."""
+    keyed = [] if key is None else [key.alias(f"{_RIGHT}key")]
     right = others.select(
-        F.col("entity_id").alias("candidate_entity_id"), "source", *record_parts(_RIGHT)
+        F.col("entity_id").alias("candidate_entity_id"), "source", *record_parts(_RIGHT), *keyed
     )
     extra = [c for c in pairs.columns if c not in PAIR_KEYS and not c.startswith(_LEFT)]
+    if key is not None:
+        same = F.coalesce(F.col(f"{_LEFT}key") == F.col(f"{_RIGHT}key"), F.lit(False))
+        extra.append(same.cast("int").alias("label"))
     return pairs.join(right, ["candidate_entity_id", "source"]).select(
         *PAIR_KEYS, *extra, *feature_columns(_LEFT, _RIGHT, guard_empty)
     )
@@ -40,12 +47,17 @@ def pair_features(
 
 
 def group_features(
-    groups: DataFrame, s1: DataFrame, others: DataFrame, guard_empty: bool = True
+    groups: DataFrame,
+    s1: DataFrame,
+    others: DataFrame,
+    guard_empty: bool = True,
+    key: Column | None = None,
 ) -> DataFrame:
     """The same from candidate groups. Parts of the S1 records are joined before the
-    groups are exploded, so the pairs are moved once, to meet their candidate records."""
-    pairs = explode_groups(groups.join(_s1_side(s1), "source1_entity_id"))
-    return _compare(pairs, others, guard_empty)
+    groups are exploded, so the pairs are moved once, to meet their candidate records.
+    With ``key`` there is also a ``label``, 1 where both records have the same key."""
+    pairs = explode_groups(groups.join(_s1_side(s1, key), "source1_entity_id"))
+    return _compare(pairs, others, guard_empty, key)
 
 
 # Weights of the stand-in score, in the order they are added.

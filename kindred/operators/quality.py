@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.schemas import CANDIDATE_HEADER, MATCH_HEADER
-from kindred.sources.files import read_headers, read_ids, read_lines
+from kindred.session import stage
+from kindred.sources.files import body_of, headers_of, read_file_lines, read_ids
 
 EXAMPLES = 5
 
@@ -37,6 +38,18 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def parsed(lines: DataFrame) -> DataFrame:
+    """Every line once: ``source1_entity_id`` and ``ids``, or ``line`` if it is malformed."""
+    rest = F.expr("substring(value, instr(value, '\\t') + 1)")
+    ids = F.when(rest.rlike(r"\S"), F.split(rest, ",")).otherwise(F.array().cast("array<string>"))
+    tabbed = F.col("value").contains("\t")
+    return lines.filter(tabbed | F.col("value").rlike(r"\S")).select(
+        F.when(tabbed, F.substring_index("value", "\t", 1)).alias("source1_entity_id"),
+        F.when(tabbed, ids).alias("ids"),
+        F.when(~tabbed, F.regexp_replace("value", r"\s+$", "")).alias("line"),
+    )
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """``(source1_entity_id, ids)`` of each line with a tab; blank lists have no ids."""
     rest = F.expr("substring(value, instr(value, '\\t') + 1)")
@@ -125,10 +138,16 @@ def read_match_targets(spark: SparkSession, s2_path: str, s3_path: str) -> DataF
     """The same from source files; None, which leaves the id check out, if one is missing."""
     try:
         return match_targets(read_ids(spark, s2_path), read_ids(spark, s3_path))
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
         return None
 
 
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 # --- files ------------------------------------------------------------------
 
 
@@ -143,13 +162,21 @@ def header_findings(headers: DataFrame, expected: list[str]) -> DataFrame:
     )
 
 
-def file_findings(spark: SparkSession, path: str, expected: list[str]) -> DataFrame:
-    """A missing or empty file, or a broken header."""
-    schema = "rule string, offender string"
+def file_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """All lines of the files in ``path``, read once and staged; None if there is none."""
     try:
-        headers = read_headers(spark, path)
-    except AnalysisException:
-        return spark.createDataFrame([("file_missing", path)], schema)
+        return stage(read_file_lines(spark, path), "lines")
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        return None
+
+
+def file_findings(spark: SparkSession, path: str, expected: list[str], lines: DataFrame | None) -> DataFrame:
+    """A missing or empty file, or a broken header, from its staged ``lines``."""
+    if lines is None:
+        return spark.createDataFrame([("file_missing", path)], "rule string, offender string")
+    headers = headers_of(lines)
     empty = (
         headers.agg(F.count("*").alias("n"))
         .filter("n = 0")
@@ -165,16 +192,18 @@ def findings(
     lines: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None
 ) -> DataFrame:
     """All findings on the lines of one file."""
-    rows = parse_lines(lines)
-    return (
-        row_findings(rows, required)
-        .unionByName(id_findings(rows, valid_ids))
-        .unionByName(
-            malformed_lines(lines).select(
-                F.lit("malformed_row").alias("rule"), F.col("line").alias("offender")
-            )
-        )
+    return parsed_findings(stage(parsed(lines), "parsed"), required, valid_ids)
+
+
+def parsed_findings(
+    found: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None
+) -> DataFrame:
+    """The same from staged ``parsed`` lines."""
+    rows = found.filter("line IS NULL").select("source1_entity_id", "ids")
+    malformed = found.filter("line IS NOT NULL").select(
+        F.lit("malformed_row").alias("rule"), F.col("line").alias("offender")
     )
+    return row_findings(rows, required).unionByName(id_findings(rows, valid_ids)).unionByName(malformed)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -220,16 +249,17 @@ def check_files(
     lines: dict[str, DataFrame] = {}
     found: list[DataFrame] = []
     for file, (path, header) in expected.items():
-        trouble = file_findings(spark, path, header)
+        own = file_lines(spark, path)
+        trouble = file_findings(spark, path, header, own)
         first = trouble.first()
         if first is None:
-            lines[file] = read_lines(spark, path)
-            trouble = findings(lines[file], required, valid_ids)
+            lines[file] = stage(parsed(body_of(own, headers_of(own))), "parsed")
+            trouble = parsed_findings(lines[file], required, valid_ids)
         elif file == "candidate" and first.rule == "file_missing":
             trouble = trouble.withColumn("rule", F.lit("candidates_missing"))
         found.append(trouble.withColumn("file", F.lit(file)))
     if len(lines) == 2:
-        outside = subset_findings(*[parse_lines(lines[f]) for f in expected])
+        outside = subset_findings(*[lines[f].filter("line IS NULL") for f in expected])
         found.append(outside.withColumn("file", F.lit("matching")))
     if valid_ids is None:
         note = [("id_check_off", matching_path, "matching")]

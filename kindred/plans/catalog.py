@@ -1,7 +1,8 @@
 """Every operator as a query over the benchmark tables.
 
 Queries that give one row per pair read the ``pages`` records, all others the
-``documents`` lines (see ``kindred.sources.tables``); both tables are read whole.
+``documents`` lines (see ``kindred.sources.tables``); both tables are read whole. Where the
+variants of an operator differ only on missing fields, ``gaps`` leaves some out.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from kindred.operators import blocks, evaluate, keys, labels, lists, model, pair
 from kindred.schemas import CANDIDATE_HEADER, FEATURES, MATCH_HEADER, PAIR_KEYS
 from kindred.session import stage, work_path
 from kindred.sources import files
-from kindred.sources.tables import DATASETS, Sources, sources, truth_lists
+from kindred.plans import linkage
+from kindred.sources.tables import DATASETS, Sources, copy_key, sources, truth_lists
 
-PAGES, DOCUMENTS = "pages", "documents"
+PAGES, DOCUMENTS, GAPS = "pages", "documents", "gaps"
 THRESHOLD = 0.5
 CAP_20 = 20
+CAP_3 = 3
 PAGE_SIZE = 500
 FIRST_ROW, LAST_ROW = 501, 1000
 LIMIT = 100
@@ -29,15 +32,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(dataset: str | None = None, name: str | None = None, **options):
+def query(dataset: str | None = None, name: str | None = None, once: bool = False, **options):
     """Register a function of the normalised sources of ``dataset``, or, without one, of
-    the session and the folder of the tables."""
+    the session and the folder of the tables. Records are written before use, so that the
+    table is read and normalised once, unless the query reads them ``once`` anyway."""
 
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             if dataset is None:
                 return function(spark, sf_dir)
-            return function(sources(spark, sf_dir, dataset, **options))
+            found = sources(spark, sf_dir, dataset, **options)
+            return function(found if once else found.staged())
 
         QUERIES[name or function.__name__] = run
         return function
@@ -57,8 +62,12 @@ def _truth(inputs: Sources, dataset: str) -> DataFrame:
     return labels.true_pairs(truth_lists(inputs, dataset))
 
 
-def _labelled(inputs: Sources, dataset: str) -> DataFrame:
-    return labels.label_pairs(blocks.explode_groups(_groups(inputs)), _truth(inputs, dataset))
+def _counts(inputs: Sources, dataset: str) -> DataFrame:
+    return labels.true_counts(inputs.s1, inputs.others, copy_key(dataset))
+
+
+def _labelled(inputs: Sources, dataset: str, **options) -> DataFrame:
+    return labels.label_by_key(_groups(inputs, **options), inputs.s1, inputs.others, copy_key(dataset))
 
 
 def _features(inputs: Sources, guard_empty: bool = True) -> DataFrame:
@@ -66,7 +75,8 @@ def _features(inputs: Sources, guard_empty: bool = True) -> DataFrame:
 
 
 def _labelled_features(inputs: Sources, dataset: str) -> DataFrame:
-    return pairs.pair_features(_labelled(inputs, dataset), inputs.s1, inputs.others)
+    """Labelled rows, moved once: the label comes from the keys both sides bring along."""
+    return pairs.group_features(_groups(inputs), inputs.s1, inputs.others, key=copy_key(dataset))
 
 
 def _scored(inputs: Sources) -> DataFrame:
@@ -103,28 +113,28 @@ def source_counts(spark, sf_dir):
     return DATASETS[DOCUMENTS](spark, sf_dir).all().groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def limit_source(inputs):
     return paging.first_rows(inputs.s1, LIMIT)
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def s1_pages(inputs):
     return paging.pages(inputs.s1, PAGE_SIZE)
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def s1_row_range(inputs):
     return paging.rows_between(inputs.s1.select("entity_id"), FIRST_ROW, LAST_ROW)
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def candidate_records(inputs):
     split = {t: inputs.others.filter(F.col("source") == t).drop("source") for t in ("s2", "s3")}
     return pairs.candidate_records(split["s2"], split["s3"])
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def match_targets(inputs):
     s2, s3 = (inputs.others.filter(F.col("source") == t) for t in ("s2", "s3"))
     return quality.match_targets(s2, s3)
@@ -133,12 +143,12 @@ def match_targets(inputs):
 # --- normalisers ------------------------------------------------------------
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def normalize_basic(inputs):
     return inputs.all()
 
 
-@query(DOCUMENTS, normalizer="rich")
+@query(DOCUMENTS, once=True, normalizer="rich")
 def normalize_rich(inputs):
     return inputs.all()
 
@@ -160,6 +170,18 @@ _normalizer("normalize_name", "business_name", text.rich_name)
 _normalizer("normalize_name_core", "business_name", text.core_name)
 _normalizer("normalize_address", "business_address", text.rich_address)
 _normalizer("normalize_country", "country", text.rich_text)
+_ASCII = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)]))
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)
+
+
+def _full_width(form: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """A form of a field whose ASCII letters and digits are written full-width: compatible
+    composition makes them plain again, so the result is that of the field itself."""
+    return lambda c: form(F.translate(c, _ASCII, _WIDE))
+
+
+_normalizer("normalize_text_wide", "business_name", _full_width(text.rich_text))
+_normalizer("normalize_address_wide", "business_address", _full_width(text.rich_address))
 _normalizer("address_token_array", "business_address", _listed(text.address_words))
 _normalizer("address_numbers", "business_address", _listed(text.address_numbers))
 
@@ -167,27 +189,27 @@ _normalizer("address_numbers", "business_address", _listed(text.address_numbers)
 # --- words, keys, blocks ----------------------------------------------------
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def name_tokens(inputs):
     return keys.field_words(inputs.all(), "name")
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def address_tokens(inputs):
     return keys.field_words(inputs.all(), "address")
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def rare_name_tokens(inputs):
     return keys.rare_words(inputs.others, "name")
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def rare_address_tokens(inputs):
     return keys.rare_words(inputs.others, "address")
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def keys_basic(inputs):
     return keys.basic_keys(inputs.all())
 
@@ -197,7 +219,7 @@ def keys_basic_pages(inputs):
     return keys.basic_keys(inputs.all())
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def keys_basic_unguarded(inputs):
     return keys.basic_keys(inputs.all(), guard_empty=False)
 
@@ -224,7 +246,7 @@ def keys_all_unguarded(inputs):
     return keys.all_keys(inputs.all(), inputs.others, guard_empty=False)
 
 
-@query(DOCUMENTS)
+@query(DOCUMENTS, once=True)
 def block_sizes(inputs):
     return blocks.block_sizes(keys.all_keys(inputs.others, inputs.others))
 
@@ -258,7 +280,12 @@ def candidate_pairs_cap20(inputs):
     return blocks.explode_groups(_groups(inputs, cap=CAP_20))
 
 
-@query(PAGES)
+@query(GAPS)
+def candidate_pairs_gaps(inputs):
+    return blocks.explode_groups(_groups(inputs))
+
+
+@query(GAPS)
 def candidate_pairs_unguarded(inputs):
     return blocks.explode_groups(_groups(inputs, guard_empty=False))
 
@@ -326,7 +353,12 @@ def pair_features_unguarded(inputs):
     return _features(inputs, guard_empty=False)
 
 
-@query(PAGES, fill_missing=True)
+@query(GAPS)
+def pair_features_gaps(inputs):
+    return _features(inputs)
+
+
+@query(GAPS, fill_missing=True)
 def pair_features_filled(inputs):
     return _features(inputs)
 
@@ -377,21 +409,34 @@ def feature_roundtrip(inputs):
 # --- evaluation -------------------------------------------------------------
 
 
-@query(DOCUMENTS)
-def pair_recall(inputs):
-    return evaluate.pair_recall(_truth(inputs, DOCUMENTS), _groups(inputs))
+def _per_s1(inputs: Sources, **options) -> DataFrame:
+    return evaluate.truth_per_s1(_labelled(inputs, DOCUMENTS, **options), _counts(inputs, DOCUMENTS))
 
 
-@query(DOCUMENTS)
-def entities_any_match(inputs):
-    per_s1 = evaluate.truth_per_s1(_truth(inputs, DOCUMENTS), _groups(inputs))
-    return per_s1.filter("n_found > 0").select("source1_entity_id")
+def _recall_queries(suffix: str, **options) -> None:
+    """Blocking recall under a cap of blocks. With few records per block some true pairs are
+    lost, and some entities find a part of theirs."""
 
+    @query(DOCUMENTS, name=f"pair_recall{suffix}")
+    def pair_recall(inputs):
+        return evaluate.pair_recall(_labelled(inputs, DOCUMENTS, **options), _counts(inputs, DOCUMENTS))
 
-@query(DOCUMENTS)
-def entities_all_match(inputs):
-    per_s1 = evaluate.truth_per_s1(_truth(inputs, DOCUMENTS), _groups(inputs))
-    return per_s1.filter("n_found = n_true").select("source1_entity_id")
+    @query(DOCUMENTS, name=f"entities_any_match{suffix}")
+    def entities_any_match(inputs):
+        return _per_s1(inputs, **options).filter("n_found > 0").select("source1_entity_id")
+
+    @query(DOCUMENTS, name=f"entities_all_match{suffix}")
+    def entities_all_match(inputs):
+        return _per_s1(inputs, **options).filter("n_found = n_true").select("source1_entity_id")
+
+    @query(DOCUMENTS, name=f"blocking_metrics{suffix}")
+    def blocking_metrics(inputs):
+        labelled = _labelled(inputs, DOCUMENTS, **options)
+        return evaluate.blocking_metrics(inputs.s1, labelled, _counts(inputs, DOCUMENTS))
+
+
+_recall_queries("")
+_recall_queries("_cap3", cap=CAP_3)
 
 
 @query(DOCUMENTS)
@@ -404,11 +449,6 @@ def zero_candidate_s1(inputs):
     return evaluate.zero_candidate_s1(inputs.s1, _groups(inputs))
 
 
-@query(DOCUMENTS)
-def blocking_metrics(inputs):
-    return evaluate.blocking_metrics(inputs.s1, _groups(inputs), _truth(inputs, DOCUMENTS))
-
-
 @query(DOCUMENTS)
 def blocking_summary(inputs):
     return evaluate.blocking_summary(inputs.s1, inputs.others, _groups(inputs))
@@ -419,26 +459,41 @@ def threshold_filter(inputs):
     return _matches(inputs).select(*PAIR_KEYS, "probability")
 
 
+def _labelled_scores(inputs: Sources) -> DataFrame:
+    return pairs.rule_score(_labelled_features(inputs, DOCUMENTS))
+
+
 @query(DOCUMENTS)
 def threshold_sweep(inputs):
-    scored = pairs.rule_score(_labelled_features(inputs, DOCUMENTS))
-    return evaluate.threshold_sweep(scored)
+    return evaluate.threshold_sweep(_labelled_scores(inputs))
+
+
+@query(DOCUMENTS)
+def threshold_sweep_validation(inputs):
+    """The sweep as training runs it: on the pairs of the validation entities."""
+    groups = labels.with_split(_groups(inputs)).filter("split = 'validation'").drop("split")
+    rows = pairs.group_features(groups, inputs.s1, inputs.others, key=copy_key(DOCUMENTS))
+    return evaluate.threshold_sweep(pairs.rule_score(rows))
 
 
 @query(DOCUMENTS)
 def best_threshold(inputs):
-    scored = pairs.rule_score(_labelled_features(inputs, DOCUMENTS))
-    return evaluate.best_threshold(evaluate.threshold_sweep(scored))
+    return evaluate.best_threshold(evaluate.threshold_sweep(_labelled_scores(inputs)))
+
+
+def _labelled_matches(inputs: Sources) -> DataFrame:
+    return pairs.accepted(_labelled_scores(inputs), THRESHOLD)
 
 
 @query(DOCUMENTS)
 def entity_f05(inputs):
-    return evaluate.entity_f05(inputs.s1, _matches(inputs), _truth(inputs, DOCUMENTS))
+    return evaluate.entity_f05(inputs.s1, _labelled_matches(inputs), _counts(inputs, DOCUMENTS))
 
 
 @query(DOCUMENTS)
 def macro_f05(inputs):
-    return evaluate.macro_f05(inputs.s1, _matches(inputs), _truth(inputs, DOCUMENTS))
+    found = evaluate.macro_f05(inputs.s1, _labelled_matches(inputs), _counts(inputs, DOCUMENTS))
+    return found.withColumn("macro_f05", F.round("macro_f05", 9))
 
 
 # --- output -----------------------------------------------------------------
@@ -498,15 +553,16 @@ def _valid_ids(inputs: Sources) -> DataFrame:
 
 
 def _findings(inputs: Sources) -> DataFrame:
-    lines = _faulty_lines(inputs)
-    rows, candidate_rows = map(quality.parse_lines, (lines, _candidate_lines(inputs)))
-    found = quality.findings(lines, inputs.s1, _valid_ids(inputs))
-    return found.unionByName(quality.subset_findings(rows, candidate_rows))
+    found = stage(quality.parsed(_faulty_lines(inputs)), "parsed")
+    outside = quality.subset_findings(
+        found.filter("line IS NULL"), quality.parse_lines(_candidate_lines(inputs))
+    )
+    return quality.parsed_findings(found, inputs.s1, _valid_ids(inputs)).unionByName(outside)
 
 
 def _rule_query(name: str, rule: str) -> None:
     def run(spark, sf_dir):
-        inputs = sources(spark, sf_dir, DOCUMENTS)
+        inputs = sources(spark, sf_dir, DOCUMENTS).staged()
         rows = quality.parse_lines(_faulty_lines(inputs))
         if rule in quality.ROW_RULES:
             found = quality.row_findings(rows, inputs.s1)
@@ -582,26 +638,149 @@ def dq_files(inputs):
     return quality.check_files(spark, paths[0], inputs.s1, paths[1], _valid_ids(inputs))
 
 
+@query(DOCUMENTS)
+def dq_file_faults(inputs):
+    """Findings on files that are missing, empty or separated by commas, with a candidate
+    file that is absent, and with a source file missing for the check of ids."""
+    spark = _spark(inputs)
+    truth = truth_lists(inputs, DOCUMENTS)
+    at = {name: work_path(spark, name) for name in ("matches", "empty", "commas", "nowhere", "s2")}
+    files.write_tsv(truth, at["matches"], "source1_entity_id")
+    spark.createDataFrame([], "value string").write.text(at["empty"])
+    truth.write.option("header", "true").csv(at["commas"])
+    files.write_tsv(inputs.others.filter("source = 's2'").select("entity_id", "name"), at["s2"])
+    unchecked = quality.read_match_targets(spark, at["s2"], at["nowhere"])
+    checked = quality.read_match_targets(spark, at["s2"], at["s2"])
+    cases = {
+        "missing": (at["nowhere"], None, checked),
+        "empty": (at["empty"], None, checked),
+        "commas": (at["commas"], None, checked),
+        "no candidates": (at["matches"], at["nowhere"], checked),
+        "no ids": (at["matches"], None, unchecked),
+    }
+    found = None
+    for case, (path, candidates, ids) in cases.items():
+        report = quality.check_files(spark, path, inputs.s1, candidates, ids)
+        rows = report.select(F.lit(case).alias("case"), "file", "rule", "severity", "n")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+# --- files --------------------------------------------------------------------
+
+
+def _written_sources(inputs: Sources) -> list[str]:
+    """Paths of the three sources as files."""
+    paths = []
+    for tag in ("s1", "s2", "s3"):
+        rows = inputs.records.filter(F.col("source") == tag).drop("source")
+        paths.append(work_path(_spark(inputs), tag))
+        files.write_tsv(rows, paths[-1])
+    return paths
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> Sources:
+    return DATASETS[DOCUMENTS](spark, sf_dir).staged()
+
+
+@query()
+def file_ids(spark, sf_dir):
+    """Ids in the first column of a written source file."""
+    return files.read_ids(spark, _written_sources(_raw(spark, sf_dir))[0])
+
+
+@query()
+def file_match_targets(spark, sf_dir):
+    _, s2, s3 = _written_sources(_raw(spark, sf_dir))
+    return quality.read_match_targets(spark, s2, s3)
+
+
+@query(DOCUMENTS)
+def file_truth(inputs):
+    """True pairs of the S1 entities with an address, from a written truth file."""
+    path = work_path(_spark(inputs), "truth")
+    files.write_tsv(truth_lists(inputs, DOCUMENTS), path, "source1_entity_id")
+    truth = files.read_truth(_spark(inputs), path)
+    return labels.true_pairs(labels.restrict_truth(truth, inputs.s1.filter("address <> ''")))
+
+
+@query()
+def file_pipeline(spark, sf_dir):
+    """Source files linked to files of matches and candidates, and both read back."""
+    matches, candidates = work_path(spark, "matches"), work_path(spark, "candidates")
+    linkage.link_files_by_rule(spark, *_written_sources(_raw(spark, sf_dir)), matches, candidates, THRESHOLD)
+    found = files.read_truth(spark, matches)
+    lines = quality.parse_lines(files.read_lines(spark, candidates))
+    listed = lines.select("source1_entity_id", F.array_join("ids", ",").alias("candidate_entity_ids"))
+    return found.join(listed, "source1_entity_id").select(
+        "source1_entity_id", F.coalesce("matched_entity_ids", F.lit("")).alias("matched_entity_ids"),
+        "candidate_entity_ids",
+    )
+
+
 # --- model ------------------------------------------------------------------
 
 
 def _staged_features(inputs: Sources) -> DataFrame:
-    return stage(labels.with_split(_labelled_features(inputs, PAGES)), "features", "split")
+    """Labelled features, some of them NULL, stored by split."""
+    return stage(labels.with_split(_labelled_features(inputs, GAPS)), "features", "split")
 
 
-@query(PAGES)
+def _constant_f05() -> Column:
+    """F0.5 of taking every pair for a match, the best a rule without features can do."""
+    positive = F.sum(F.col("label"))
+    return F.coalesce(evaluate.f_half(positive, F.count("*") - positive, F.lit(0)), F.lit(0.0))
+
+
+@query(GAPS)
 def gbt_score(inputs):
+    """What holds of a trained matcher whatever its trees: it scores every pair between 0
+    and 1, no entity is on both sides of the split, and on the validation entities it is
+    no worse than a constant answer."""
     rows = _staged_features(inputs)
-    matcher, _ = model.train(rows)
-    return model.score_pairs(matcher, rows).select(*PAIR_KEYS, "label", "split", "probability")
+    matcher, sweep = model.train(rows)
+    scored = stage(model.score_pairs(matcher, rows), "scored")
+    sides = scored.groupBy("source1_entity_id").agg(F.count_distinct("split").alias("n")).agg(
+        F.coalesce(F.max("n") == 1, F.lit(True)).alias("entities_on_one_side")
+    )
+    constant = rows.filter("split = 'validation'").agg(_constant_f05().alias("constant"))
+    best = evaluate.best_threshold(sweep).select("best_f05")
+    totals = scored.agg(
+        F.count("*").alias("pairs"),
+        F.count_if(F.col("split") == "validation").alias("validation_pairs"),
+        F.count_if(F.col("label") == 1).alias("positive_pairs"),
+        F.count_if(F.col("probability").between(0, 1)).alias("scored_pairs"),
+    )
+    gaps = rows.agg(F.count_if(F.col("name_length_diff").isNull()).alias("pairs_without_length"))
+    # Tables of one row each.
+    joined = totals.withColumn("one", F.lit(1))
+    for other in (sides, constant, best, gaps):
+        joined = joined.join(other.withColumn("one", F.lit(1)), "one")
+    return joined.select(
+        "pairs", "validation_pairs", "positive_pairs", "pairs_without_length", "scored_pairs",
+        "entities_on_one_side", (F.col("best_f05") >= F.col("constant") - 1e-9).alias("as_good_as_constant"),
+    )
 
 
-@query(PAGES)
+@query(GAPS)
 def gbt_roundtrip(inputs):
+    """A matcher fitted on the train entities, saved and loaded: the same threshold, the one
+    chosen on the validation entities, and the same score of every pair."""
     spark = _spark(inputs)
     rows = _staged_features(inputs)
     path = work_path(spark, "matcher")
-    model.save_matcher(model.Matcher(model.fit_model(rows)), path)
-    matcher = model.load_matcher(spark, path)
-    matches = pairs.accepted(model.score_pairs(matcher, rows), matcher.threshold)
-    return lists.result_lists(matches, inputs.s1)
+    matcher, sweep = model.train(rows)
+    model.save_matcher(matcher, path)
+    loaded = model.load_matcher(spark, path)
+    chosen = evaluate.best_threshold(sweep).first().best_threshold
+    scored = model.score_pairs(matcher, rows).select(*PAIR_KEYS, F.col("probability").alias("before"))
+    again = model.score_pairs(loaded, rows).select(*PAIR_KEYS, F.col("probability").alias("after"))
+    accepted = F.col("after") >= loaded.threshold
+    listed = scored.join(again, PAIR_KEYS)
+    return listed.agg(
+        F.count("*").alias("pairs"),
+        F.count_if(F.col("before") == F.col("after")).alias("equal_scores"),
+        F.lit(loaded.threshold == chosen).alias("threshold_kept"),
+        F.lit(loaded.features == matcher.features).alias("features_kept"),
+        F.count_if(accepted & F.col("after").isNull()).alias("accepted_without_score"),
+    )

@@ -20,6 +20,24 @@ def labelled_features(
     return pairs.pair_features(labelled, s1, others)
 
 
+def link_files_by_rule(
+    spark: SparkSession,
+    s1_path: str,
+    s2_path: str,
+    s3_path: str,
+    matches_path: str,
+    candidates_path: str,
+    threshold: float,
+) -> None:
+    """Source files to a file of match lists and one of candidate lists, by the rule score."""
+    s1, others = load_sources(spark, s1_path, s2_path, s3_path)
+    groups = stage(blocks.candidates(s1, others), "candidates")
+    files.write_tsv(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
+    scored = pairs.rule_score(pairs.group_features(groups, s1, others))
+    matches = lists.result_lists(pairs.accepted(scored, threshold), s1)
+    files.write_tsv(matches, matches_path, "source1_entity_id")
+
+
 def link_by_rule(s1: DataFrame, others: DataFrame, threshold: float, **blocking) -> DataFrame:
     """Match lists from the fixed rule score; needs no model."""
     groups = blocks.candidates(s1, others, **blocking)

@@ -12,9 +12,11 @@ from kindred.functions.vocabulary import ADDRESS_WORDS, LEGAL_WORDS, NAME_WORDS
 from kindred.operators.evaluate import DEFAULT_THRESHOLD, THRESHOLDS
 from kindred.operators.pairs import SCORE_WEIGHTS
 from kindred.plans.catalog import (
+    CAP_3,
     CAP_20,
     DOCUMENTS,
     FIRST_ROW,
+    GAPS,
     LAST_ROW,
     LIMIT,
     PAGE_SIZE,
@@ -43,13 +45,20 @@ RAW = {
                concat(' ', upper(lang)) AS country,
                feed AS source
         FROM (SELECT doc_id, lang,
-                     CASE WHEN CAST(substr(source, 4) AS INT) < 7 THEN 's1'
-                          WHEN CAST(substr(source, 4) AS INT) < 14 THEN 's2' ELSE 's3' END AS feed,
+                     CASE WHEN TRY_CAST(substr(source, 4) AS INT) < 7 THEN 's1'
+                          WHEN TRY_CAST(substr(source, 4) AS INT) < 14 THEN 's2' ELSE 's3' END AS feed,
                      unnest(string_split(text, chr(10))) AS line,
                      generate_subscripts(string_split(text, chr(10)), 1) AS line_no
               FROM documents)""",
 }
 
+RAW[GAPS] = f"""
+        SELECT entity_id, CASE WHEN k % 7 <> 0 THEN business_name END AS business_name,
+               CASE WHEN k % 3 = 0 THEN CAST(k % 10 AS VARCHAR)
+                    WHEN k % 11 <> 0 THEN business_address END AS business_address,
+               CASE WHEN k % 13 = 0 THEN '' ELSE country END AS country, source
+        FROM (SELECT *, CAST(substr(entity_id, 4) AS BIGINT) AS k FROM ({RAW[PAGES]}))"""
+
 _BASIC = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 _RICH = r"coalesce(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g')), '')"
 
@@ -60,7 +69,10 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
     if filled:
         basic = {f: f"coalesce({e}, '')" for f, e in basic.items()}
         country = f"coalesce({country}, '')"
-    copy_fields = "name" if dataset == PAGES else "name, '') || '|' || coalesce(address"
+    copy_key = "md5(coalesce(country, '') || '|' || coalesce(name, ''))"
+    if dataset == DOCUMENTS:
+        copy_key = """md5(coalesce(country, '') || '|' || coalesce(name, '') || '|' || coalesce(address, ''))
+               || right(entity_id, 6)"""
     word_country = "country <> ''" if guard else "country IS NOT NULL"
     street_guard = "AND street <> ''" if guard else ""
 
@@ -160,14 +172,11 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
                block.source AS source
         FROM (SELECT * FROM key WHERE source = 's1') k JOIN block USING (key_type, block_key)""",
         "copies": f"""
-        SELECT *, country || '|' || coalesce({copy_fields}, '') AS copy_key FROM rec""",
+        SELECT *, {copy_key} AS copy_key FROM rec""",
         "truth": """
         SELECT a.entity_id AS source1_entity_id,
-               concat_ws(',', min(b.entity_id) FILTER (b.source = 's2'),
-                              min(b.entity_id) FILTER (b.source = 's3')) AS matched_entity_ids
-        FROM copies a LEFT JOIN
-             (SELECT copy_key, source, min(entity_id) AS entity_id FROM copies
-              WHERE source <> 's1' GROUP BY ALL) b USING (copy_key)
+               coalesce(string_agg(b.entity_id, ',' ORDER BY b.entity_id), '') AS matched_entity_ids
+        FROM copies a LEFT JOIN (SELECT * FROM copies WHERE source <> 's1') b USING (copy_key)
         WHERE a.source = 's1' GROUP BY a.entity_id""",
         "pair": """
         SELECT source1_entity_id, trim(unnest(string_split(matched_entity_ids, ','))) AS entity_id
@@ -293,9 +302,15 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
     }
 
 
-def _sql(body: str, dataset: str, guard: bool = True, filled: bool = False, cap: int = CAP) -> str:
-    """``body`` after the named subqueries it needs, in order."""
+_VALIDATION = "('0x' || substr(md5(source1_entity_id), 1, 8))::BIGINT % 5 = 0"
+
+
+def _sql(
+    body: str, dataset: str, guard: bool = True, filled: bool = False, cap: int = CAP, only: str = ""
+) -> str:
+    """``body`` after the named subqueries it needs, in order; ``only`` restricts the sweep."""
     ctes = _ctes(dataset, guard, filled, cap)
+    ctes["scored"] += f" {only}"
     names = "|".join(ctes)
     needed: list[str] = []
 
@@ -368,7 +383,29 @@ SELECT {columns}, {severity} AS severity, count(*) AS n,
 FROM {source} GROUP BY ALL"""
 
 
-ORACLE: dict[str, str] = {
+def _recall(suffix: str, **options) -> dict[str, str]:
+    bodies = {
+        "pair_recall": """SELECT count(*) AS true_pairs, sum(found)::BIGINT AS found_pairs,
+        sum(found)::DOUBLE / count(*) AS pair_recall FROM found""",
+        "entities_any_match": "SELECT DISTINCT source1_entity_id FROM found WHERE found = 1",
+        "entities_all_match": "SELECT source1_entity_id FROM found GROUP BY ALL HAVING sum(found) = count(*)",
+        "blocking_metrics": """
+SELECT (SELECT count(*) FROM found) AS true_pairs,
+       (SELECT sum(found)::BIGINT FROM found) AS found_pairs,
+       (SELECT count(DISTINCT source1_entity_id) FROM found) AS entities_with_truth,
+       (SELECT count(DISTINCT source1_entity_id) FROM found WHERE found = 1) AS entities_any_found,
+       (SELECT count(*) FROM (SELECT source1_entity_id FROM found GROUP BY ALL
+                              HAVING sum(found) = count(*))) AS entities_all_found,
+       sum(n_candidates)::BIGINT AS candidate_pairs,
+       sum(n_candidates)::DOUBLE / count(*) AS avg_candidates,
+       max(n_candidates) AS max_candidates,
+       count(*) FILTER (n_candidates = 0) AS zero_candidate_s1
+FROM per_s1""",
+    }
+    return {name + suffix: _sql(body, DOCUMENTS, **options) for name, body in bodies.items()}
+
+
+ORACLE: dict[str, str] = _recall("") | _recall("_cap3", cap=CAP_3) | {
     "scan_sources": _sql("SELECT * FROM raw", DOCUMENTS),
     "scan_pages": _sql("SELECT * FROM raw", PAGES),
     "tsv_roundtrip": _sql("SELECT * EXCLUDE (source) FROM raw", DOCUMENTS),
@@ -401,6 +438,9 @@ ORACLE: dict[str, str] = {
         _joined(f"list_filter({_name_words}, lambda w: w NOT IN ({_legal}))")
     ),
     "normalize_address": _normal(_joined(_address_words)),
+    # Folding full-width letters and digits gives the field's own form.
+    "normalize_text_wide": _normal(_RICH.format("business_name")),
+    "normalize_address_wide": _normal(_joined(_address_words)),
     "normalize_country": _normal(_RICH.format("country")),
     "address_token_array": _normal(_joined(_address_words, ",")),
     "address_numbers": _normal(
@@ -431,7 +471,8 @@ ORACLE: dict[str, str] = {
     "blocks_cap20": _sql(_BLOCK_SQL, DOCUMENTS, cap=CAP_20),
     "candidate_pairs": _sql("SELECT * FROM cand", PAGES),
     "candidate_pairs_cap20": _sql("SELECT * FROM cand", PAGES, cap=CAP_20),
-    "candidate_pairs_unguarded": _sql("SELECT * FROM cand", PAGES, guard=False),
+    "candidate_pairs_gaps": _sql("SELECT * FROM cand", GAPS),
+    "candidate_pairs_unguarded": _sql("SELECT * FROM cand", GAPS, guard=False),
     "candidate_lists": _sql(_LISTS_SQL, DOCUMENTS),
     "candidate_lists_cap20": _sql(_LISTS_SQL, DOCUMENTS, cap=CAP_20),
     "candidate_lists_per_source": _sql(
@@ -470,7 +511,8 @@ WHERE r.source = 's1' GROUP BY r.entity_id""",
     ),
     "pair_features": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature", PAGES),
     "pair_features_unguarded": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature_loose", PAGES),
-    "pair_features_filled": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature", PAGES, filled=True),
+    "pair_features_gaps": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature", GAPS),
+    "pair_features_filled": _sql(f"SELECT {_PAIR}, {_FEATURES} FROM feature", GAPS, filled=True),
     "labelled_features": _sql(_LABELLED_SQL, PAGES),
     "feature_totals": _sql(_TOTAL_SQL, DOCUMENTS),
     "feature_totals_unguarded": _sql(
@@ -478,36 +520,10 @@ WHERE r.source = 's1' GROUP BY r.entity_id""",
     ),
     "feature_totals_filled": _sql(_TOTAL_SQL, DOCUMENTS, filled=True),
     "feature_roundtrip": _sql(_LABELLED_SQL, PAGES),
-    "pair_recall": _sql(
-        """SELECT count(*) AS true_pairs, sum(found)::BIGINT AS found_pairs,
-        sum(found)::DOUBLE / count(*) AS pair_recall FROM found""",
-        DOCUMENTS,
-    ),
-    "entities_any_match": _sql(
-        "SELECT DISTINCT source1_entity_id FROM found WHERE found = 1", DOCUMENTS
-    ),
-    "entities_all_match": _sql(
-        "SELECT source1_entity_id FROM found GROUP BY ALL HAVING sum(found) = count(*)", DOCUMENTS
-    ),
     "candidates_per_s1": _sql("SELECT * FROM per_s1", DOCUMENTS),
     "zero_candidate_s1": _sql(
         "SELECT source1_entity_id FROM per_s1 WHERE n_candidates = 0", DOCUMENTS
     ),
-    "blocking_metrics": _sql(
-        """
-SELECT (SELECT count(*) FROM found) AS true_pairs,
-       (SELECT sum(found)::BIGINT FROM found) AS found_pairs,
-       (SELECT count(DISTINCT source1_entity_id) FROM found) AS entities_with_truth,
-       (SELECT count(DISTINCT source1_entity_id) FROM found WHERE found = 1) AS entities_any_found,
-       (SELECT count(*) FROM (SELECT source1_entity_id FROM found GROUP BY ALL
-                              HAVING sum(found) = count(*))) AS entities_all_found,
-       sum(n_candidates)::BIGINT AS candidate_pairs,
-       sum(n_candidates)::DOUBLE / count(*) AS avg_candidates,
-       max(n_candidates) AS max_candidates,
-       count(*) FILTER (n_candidates = 0) AS zero_candidate_s1
-FROM per_s1""",
-        DOCUMENTS,
-    ),
     "blocking_summary": _sql(
         """
 SELECT (SELECT count(*) FROM rec WHERE source = 's1') AS s1_rows,
@@ -521,6 +537,7 @@ FROM per_s1""",
     ),
     "threshold_filter": _sql(f"SELECT {_PAIR}, probability FROM matched", PAGES),
     "threshold_sweep": _sql("SELECT * FROM swept", DOCUMENTS),
+    "threshold_sweep_validation": _sql("SELECT * FROM swept", DOCUMENTS, only="WHERE %s" % _VALIDATION),
     "best_threshold": _sql(
         f"""SELECT coalesce((SELECT threshold FROM swept WHERE f05 > 0
                              ORDER BY f05 DESC, threshold LIMIT 1), {DEFAULT_THRESHOLD}::DOUBLE)
@@ -565,4 +582,39 @@ SELECT * FROM (VALUES
     ('comma_header', 'source1_entity_id,candidate_entity_ids')) v(rule, offender)
 WHERE EXISTS (SELECT 1 FROM documents)""",
     "dq_files": _sql(_report("file_finding", "severity", "file, rule"), DOCUMENTS),
+    "dq_file_faults": _sql(
+        """
+SELECT * FROM (VALUES ('missing', 'matching', 'file_missing', 'error', 1::BIGINT),
+                      ('empty', 'matching', 'file_empty', 'error', 1),
+                      ('commas', 'matching', 'comma_header', 'error', 1),
+                      ('no candidates', 'candidate', 'candidates_missing', 'warning', 1),
+                      ('no ids', 'matching', 'id_check_off', 'warning', 1)) v("case", file, rule, severity, n)
+UNION ALL
+SELECT 'no candidates', 'matching', 'unknown_id', 'error', count(DISTINCT entity_id) FROM pair
+WHERE entity_id LIKE 'S3-%' HAVING count(*) > 0""",
+        DOCUMENTS,
+    ),
+    "file_ids": _sql("SELECT DISTINCT entity_id FROM raw WHERE source = 's1'", DOCUMENTS),
+    "file_match_targets": _sql("SELECT DISTINCT entity_id FROM raw WHERE source <> 's1'", DOCUMENTS),
+    "file_truth": _sql(
+        """SELECT * FROM pair WHERE source1_entity_id IN
+        (SELECT entity_id FROM rec WHERE source = 's1' AND address <> '')""",
+        DOCUMENTS,
+    ),
+    "file_pipeline": _sql(
+        f"SELECT * FROM result JOIN ({_LISTS_SQL}) USING (source1_entity_id)", DOCUMENTS
+    ),
+    "gbt_score": _sql(
+        f"""
+SELECT count(*) AS pairs, count(*) FILTER ({_VALIDATION}) AS validation_pairs,
+       sum(label)::BIGINT AS positive_pairs, count(*) FILTER (name_length_diff IS NULL) AS pairs_without_length,
+       count(*) AS scored_pairs, true AS entities_on_one_side, true AS as_good_as_constant
+FROM feature""",
+        GAPS,
+    ),
+    "gbt_roundtrip": _sql(
+        """SELECT count(*) AS pairs, count(*) AS equal_scores, true AS threshold_kept, true AS features_kept,
+        0::BIGINT AS accepted_without_score FROM cand""",
+        GAPS,
+    ),
 }

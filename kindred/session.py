@@ -15,9 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
-    # Below this many groups per task a bounded collect stays in its hash map
-    # instead of sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions.text import normalize_records
+from kindred.session import stage
 
 S1_FEEDS = [f"src{i}" for i in range(0, 7)]
 S2_FEEDS = [f"src{i}" for i in range(7, 14)]
@@ -25,33 +26,36 @@ S2_FEEDS = [f"src{i}" for i in range(7, 14)]
 
 @dataclass(frozen=True)
 class Sources:
-    """Raw records: the reference source ``s1`` and the two others, tagged by ``source``."""
+    """Records of all sources in one table, tagged by ``source``; ``s1`` is the reference."""
 
-    s1: DataFrame
-    others: DataFrame
+    records: DataFrame
 
-    def normalized(self, **options) -> Sources:
-        return Sources(normalize_records(self.s1, **options), normalize_records(self.others, **options))
+    @property
+    def s1(self) -> DataFrame:
+        return self.records.filter("source = 's1'")
+
+    @property
+    def others(self) -> DataFrame:
+        return self.records.filter("source <> 's1'")
 
     def all(self) -> DataFrame:
-        return self.s1.unionByName(self.others)
+        return self.records
+
+    def normalized(self, **options) -> Sources:
+        return Sources(normalize_records(self.records, **options))
 
+    def staged(self) -> Sources:
+        """The same, written once: for uses that read the records several times."""
+        return Sources(stage(self.records, "records"))
 
-def _tagged(rows: DataFrame, key) -> DataFrame:
-    entity_id = F.concat(F.upper("source"), F.lit("-"), key)
+
+def _tagged(rows: DataFrame) -> DataFrame:
+    entity_id = F.concat(F.upper("source"), F.lit("-"), F.col("key"))
     return rows.select(
         entity_id.alias("entity_id"), "business_name", "business_address", "country", "source"
     )
 
 
-def _spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan of fewer splits than there are cores, spread over all of them. The test
-    tables are single row groups, which one task would read, split and sort alone; a
-    table of real size has splits enough and is left as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def page_records(spark: SparkSession, sf_dir: str) -> Sources:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     domain = F.regexp_extract("url", r"\.example\.([a-z]+)/", 1)
@@ -62,51 +66,50 @@ def page_records(spark: SparkSession, sf_dir: str) -> Sources:
         F.regexp_extract("html", '<html lang="([a-z]+)', 1).alias("country"),
         F.when(domain == "com", "s1").when(domain == "net", "s2").otherwise("s3").alias("source"),
     )
-    records = _tagged(rows, F.col("key"))
-    return Sources(records.filter("source = 's1'"), records.filter("source <> 's1'"))
+    return Sources(_tagged(rows))
 
 
-def line_records(spark: SparkSession, sf_dir: str) -> Sources:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-    def lines(docs: DataFrame) -> DataFrame:
-        tag = (
-            F.when(F.col("feed").isin(S1_FEEDS), "s1")
-            .when(F.col("feed").isin(S2_FEEDS), "s2")
-            .otherwise("s3")
-        )
-        split = docs.select(
-            "doc_id", "lang", F.col("source").alias("feed"),
-            F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
-        )
-        name = F.regexp_extract("line", "^([^.!?]*)", 1)
-        rest = F.regexp_replace("line", "^[^.!?]*[.!?]*", "")
-        rows = split.select(
-            F.concat(
-                F.lpad(F.col("doc_id").cast("string"), 9, "0"),
-                F.lit("-"),
-                F.lpad(F.col("line_no").cast("string"), 5, "0"),
-            ).alias("key"),
-            F.nullif(name, F.lit("")).alias("business_name"),
-            F.nullif(rest, F.lit("")).alias("business_address"),
-            F.concat(F.lit(" "), F.upper("lang")).alias("country"),
-            tag.alias("source"),
-        )
-        return _tagged(rows, F.col("key"))
-
-    # The feed test is on the stored column, so it reaches the Parquet scan.
-    documents = documents.select("doc_id", "text", "lang", "source")
-    from_s1 = F.col("source").isin(S1_FEEDS)
+def gap_records(spark: SparkSession, sf_dir: str) -> Sources:
+    """The pages with fields left out: some have no name, address or country, and some an
+    address that is a bare number, as the loose and the filling variants meet them."""
+    number = F.expr("CAST(substring(entity_id, 4) AS BIGINT)")
+    pages = page_records(spark, sf_dir).all()
     return Sources(
-        lines(_spread(documents.filter(from_s1), "doc_id")),
-        lines(_spread(documents.filter(~from_s1), "doc_id")),
+        pages.select(
+            "entity_id",
+            F.when(number % 7 != 0, F.col("business_name")).alias("business_name"),
+            F.when(number % 3 == 0, (number % 10).cast("string"))
+            .when(number % 11 != 0, F.col("business_address"))
+            .alias("business_address"),
+            F.when(number % 13 == 0, F.lit("")).otherwise(F.col("country")).alias("country"),
+            "source",
+        )
     )
 
 
-DATASETS = {"pages": page_records, "documents": line_records}
+def line_records(spark: SparkSession, sf_dir: str) -> Sources:
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    # A document without a source, or from another one, is in S3.
+    tag = F.when(F.col("source").isin(S1_FEEDS), "s1").when(F.col("source").isin(S2_FEEDS), "s2").otherwise("s3")
+    split = documents.select(
+        "doc_id", "lang", tag.alias("source"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    )
+    name = F.regexp_extract("line", "^([^.!?]*)", 1)
+    rest = F.regexp_replace("line", "^[^.!?]*[.!?]*", "")
+    key = F.concat(
+        F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit("-"), F.lpad(F.col("line_no").cast("string"), 5, "0")
+    )
+    rows = split.select(
+        key.alias("key"),
+        F.nullif(name, F.lit("")).alias("business_name"),
+        F.nullif(rest, F.lit("")).alias("business_address"),
+        F.concat(F.lit(" "), F.upper("lang")).alias("country"),
+        "source",
+    )
+    return Sources(_tagged(rows))
 
-# Fields that make two records copies of one another. A url is never shared.
-COPY_FIELDS = {"pages": ["country", "name"], "documents": ["country", "name", "address"]}
+
+DATASETS = {"pages": page_records, "documents": line_records, "gaps": gap_records}
 
 
 def sources(spark: SparkSession, sf_dir: str, dataset: str, **options) -> Sources:
@@ -114,25 +117,26 @@ def sources(spark: SparkSession, sf_dir: str, dataset: str, **options) -> Source
     return DATASETS[dataset](spark, sf_dir).normalized(**options)
 
 
+def _of(fields: list[str]) -> Column:
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in fields]))
+
+
+def copy_key(dataset: str) -> Column:
+    """What two records share that stand for the same entity: for pages country and title
+    (a url is never shared), for lines all fields and their place in the document."""
+    if dataset == "documents":
+        return F.concat(_of(["country", "name", "address"]), F.expr("right(entity_id, 6)"))
+    return _of(["country", "name"])
+
+
 def truth_lists(inputs: Sources, dataset: str) -> DataFrame:
-    """Ground truth in its file form: each S1 entity with the first copy of its text in
-    S2 and in S3, as a comma list that may be empty.
-
-    Copies are found by grouping, so the table has one row per S1 entity however many
-    copies a text has.
-    """
-    copy_key = F.md5(
-        F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in COPY_FIELDS[dataset]])
-    )
-    first_id = {
-        tag: F.min(F.when(F.col("source") == tag, F.col("entity_id"))).alias(tag)
-        for tag in ("s2", "s3")
-    }
-    # Grouped by country too, which the key implies: the join on the key alone then takes
-    # its own exchange, and adaptive execution may split a text with very many copies.
-    copies = inputs.others.groupBy("country", copy_key.alias("copy_key")).agg(*first_id.values())
+    """Ground truth in its file form: every S1 entity with all its copies in S2 and S3, in
+    order, as a comma list that may be empty. Labels do not need the lists: a pair is true
+    if its keys are equal."""
+    key = copy_key(dataset)
+    copies = inputs.others.groupBy(key.alias("copy_key")).agg(F.sort_array(F.collect_list("entity_id")).alias("ids"))
     return (
-        inputs.s1.select(F.col("entity_id").alias("source1_entity_id"), copy_key.alias("copy_key"))
+        inputs.s1.select(F.col("entity_id").alias("source1_entity_id"), key.alias("copy_key"))
         .join(copies, "copy_key", "left")
-        .select("source1_entity_id", F.concat_ws(",", "s2", "s3").alias("matched_entity_ids"))
+        .select("source1_entity_id", F.coalesce(F.array_join("ids", ","), F.lit("")).alias("matched_entity_ids"))
     )

@@ -1,6 +1,6 @@
 import pytest
 
-from kindred.operators import evaluate, lists
+from kindred.operators import blocks, evaluate, labels, lists
 
 from conftest import rows_of
 
@@ -37,9 +37,11 @@ def test_best_threshold_without_hits(spark, rows):
 def test_macro_counts_lost_and_empty(spark):
     s1 = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "entity_id string")
     matches = spark.createDataFrame(
-        [("a", "x"), ("a", "x"), ("b", "y")], "source1_entity_id string, candidate_entity_id string"
+        [("a", "x", 1), ("a", "x", 1), ("b", "y", 0)],
+        "source1_entity_id string, candidate_entity_id string, label int",
     )
     truth = spark.createDataFrame([("a", "x"), ("c", "z")], "source1_entity_id string, entity_id string")
+    truth = labels.counts_of(truth)
     got = rows_of(evaluate.entity_f05(s1, matches, truth))
     assert got == [("a", 1, 0, 0, 1.0), ("b", 0, 1, 0, 0.0), ("c", 0, 0, 1, 0.0), ("d", 0, 0, 0, 1.0)]
     assert evaluate.macro_f05(s1, matches, truth).first() == (4, 0.5)
@@ -56,30 +58,39 @@ def blocked(spark):
         [("a", "S2-1"), ("a", "S3-9"), ("b", "S2-1"), ("c", "S2-5")],
         "source1_entity_id string, entity_id string",
     )
-    return s1, groups, truth
+    pairs = blocks.explode_groups(groups)
+    return s1, groups, labels.label_pairs(pairs, truth), labels.counts_of(truth)
 
 
 def test_blocking_metrics(blocked):
-    got = evaluate.blocking_metrics(*blocked).first().asDict()
+    s1, groups, labelled, counts = blocked
+    got = evaluate.blocking_metrics(s1, labelled, counts).first().asDict()
     assert got == {
         "true_pairs": 4, "found_pairs": 2, "entities_with_truth": 3, "entities_any_found": 2,
         "entities_all_found": 1, "candidate_pairs": 4, "avg_candidates": 4 / 3, "max_candidates": 3,
         "zero_candidate_s1": 1,
     }
-    s1, groups, truth = blocked
-    assert evaluate.pair_recall(truth, groups).first() == (4, 2, 0.5)
+    assert evaluate.pair_recall(labelled, counts).first() == (4, 2, 0.5)
+    assert rows_of(evaluate.candidates_per_s1(s1, groups)) == [("a", 3), ("b", 1), ("c", 0)]
     assert rows_of(evaluate.zero_candidate_s1(s1, groups)) == [("c",)]
 
 
 def test_no_truth_gives_zeros(blocked):
-    s1, groups, truth = blocked
-    got = evaluate.blocking_metrics(s1, groups, truth.limit(0)).first()
+    s1, _, labelled, counts = blocked
+    got = evaluate.blocking_metrics(s1, labelled, counts.limit(0)).first()
     assert (got.true_pairs, got.found_pairs, got.entities_with_truth) == (0, 0, 0)
-    assert evaluate.pair_recall(truth.limit(0), groups).first() == (0, 0, 0.0)
+    assert evaluate.pair_recall(labelled, counts.limit(0)).first() == (0, 0, 0.0)
+
+
+def test_entities_without_candidates_count_zero_without_ansi(blocked, conf):
+    conf("spark.sql.ansi.enabled", "false")
+    s1, groups, labelled, counts = blocked
+    assert rows_of(evaluate.candidates_per_s1(s1, groups)) == [("a", 3), ("b", 1), ("c", 0)]
+    assert evaluate.blocking_metrics(s1, labelled, counts).first().candidate_pairs == 4
 
 
 def test_lists(spark, blocked):
-    s1, groups, _ = blocked
+    s1, groups, *_ = blocked
     assert rows_of(lists.candidate_lists(groups, s1)) == [("a", "S2-1,S2-2,S3-1"), ("b", "S2-1"), ("c", "")]
     assert rows_of(lists.candidate_lists(groups, s1, per_source=True)) == [
         ("a", "S2-1,S2-2", "S3-1"), ("b", "S2-1", ""), ("c", "", "")]

@@ -154,3 +154,43 @@ def test_row_numbers(spark):
     assert rows_of(numbered) == [(f"S1-{i:05}", i + 1) for i in range(5000)]
     sizes = paging.pages(ids, 900).groupBy("page").count()
     assert rows_of(sizes) == [(0, 900), (1, 900), (2, 900), (3, 900), (4, 900), (5, 500)]
+
+
+def test_files_with_other_headers_are_not_mixed_up(spark, tmp_path):
+    folder = tmp_path / "records"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\tAcme\t1 main\tUS\n")
+    (folder / "b.tsv").write_text("country\tentity_id\tbusiness_name\tbusiness_address\nUS\tS1-2\tFoo\t2 main\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_records(spark, str(folder)).collect()
+
+
+def test_only_a_missing_file_switches_the_id_check_off(spark, tmp_path):
+
+    (tmp_path / "s2.tsv").write_text("entity_id\tname\nS2-1\tx\n\nS2-2\ty\n")
+    there = str(tmp_path / "s2.tsv")
+    assert quality.read_match_targets(spark, there, str(tmp_path / "none")) is None
+    assert quality.read_match_targets(spark, there, there).count() == 2
+    with pytest.raises(Exception, match="(?i)scheme|nosuch"):
+        quality.read_match_targets(spark, there, "nosuch://host/path")
+
+
+def test_documents_without_a_source_are_in_s3(spark, tmp_path):
+    from kindred.sources.tables import line_records
+
+    rows = [(1, "One. two", "en", "src0", 8), (2, "Three. four", "en", None, 11), (3, None, None, "src9", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    found = {r["entity_id"]: r["source"] for r in line_records(spark, str(tmp_path)).all().collect()}
+    assert found == {"S1-000000001-00000": "s1", "S3-000000002-00000": "s3"}
+
+
+def test_one_record_of_many_words(spark, records):
+    from kindred.operators import blocks
+
+    words = " ".join(f"word{k}" for k in range(100_000))
+    s1 = records([("S1-1", "us", "acme", words)])
+    others = records([("S2-1", "us", "other", "word7 lane", "s2"), ("S3-1", "us", "more", "word7 road", "s3")])
+    found = blocks.candidates(s1, others).collect()
+    assert [(r[0], r[1], r[2]) for r in found] == [("S1-1", ["S2-1"], ["S3-1"])]

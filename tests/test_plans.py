@@ -2,7 +2,13 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from kindred import session
 from kindred.operators import blocks, evaluate, keys, labels, lists, pairs, quality
+from kindred.plans import catalog
+from kindred.plans.catalog import QUERIES
+from kindred.sources import tables
 from kindred.sources.tables import line_records, sources
 
 from conftest import rows_of
@@ -36,14 +42,15 @@ def test_no_join_without_keys_and_no_global_window(linked, no_broadcast, spark):
     truth = spark.createDataFrame([("S1-1", "S2-1")], "source1_entity_id string, entity_id string")
     labelled = labels.label_pairs(blocks.explode_groups(groups), truth)
     scored = pairs.rule_score(pairs.pair_features(labelled, s1, others))
+    counts = labels.counts_of(truth)
     frames = [
         groups,
         keys.all_keys(s1, others),
         lists.result_lists(pairs.accepted(scored, 0.5), s1),
-        evaluate.blocking_metrics(s1, groups, truth),
+        evaluate.blocking_metrics(s1, labelled, counts),
         evaluate.blocking_summary(s1, others, groups),
         evaluate.threshold_sweep(scored),
-        evaluate.macro_f05(s1, scored, truth),
+        evaluate.macro_f05(s1, scored, counts),
     ]
     for frame in frames:
         plan = plan_of(frame)
@@ -65,12 +72,38 @@ def test_lists_need_no_further_exchange_of_candidates(linked, no_broadcast):
     assert exchanges(lists.candidate_lists(groups, s1)) == 5
 
 
+def test_labelled_pairs_are_moved_once(linked, no_broadcast):
+    """As for features without labels: the keys travel with the records."""
+    s1, others = linked
+    rows = pairs.group_features(blocks.candidates(s1, others), s1, others, key=F.col("name"))
+    assert exchanges(rows) == 7
+
+
 def test_scan_reads_what_it_needs(spark):
     records = line_records(spark, SF_DIR)
-    plan = records.s1._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(source, [src0" in plan
-    ids = records.s1.select("entity_id")._jdf.queryExecution().executedPlan().toString()
-    assert "n_chars" not in plan and "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in ids
+    plan = plan_of(records.all())
+    assert plan.count("FileScan") == 1 and "n_chars" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in plan_of(
+        records.s1.select("entity_id")
+    )
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_tables_are_read_at_most_twice(spark, name, monkeypatch):
+    """Scans of a benchmark table in the plans of a query, staged tables included."""
+    if name.startswith(("gbt", "dq_f", "file_", "tsv", "feature_round", "dq_header")):
+        pytest.skip("runs jobs of its own; the records it stages are read as here")
+    scans = []
+    staged = session.stage
+
+    def counted(df, *args, **kwargs):
+        scans.append(df)
+        return staged(df, *args, **kwargs)
+
+    for module in (session, tables, catalog, quality):
+        monkeypatch.setattr(module, "stage", counted)
+    scans.append(QUERIES[name](spark, SF_DIR))
+    assert 1 <= sum(plan_of(df).count("sf0.001/") for df in scans) <= 2
 
 
 def test_python_is_only_used_for_nfkc(spark):
