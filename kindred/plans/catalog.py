@@ -246,7 +246,7 @@ def keys_all_unguarded(inputs):
     return keys.all_keys(inputs.all(), inputs.others, guard_empty=False)
 
 
-@query(DOCUMENTS, once=True)
+@query(DOCUMENTS)
 def block_sizes(inputs):
     return blocks.block_sizes(keys.all_keys(inputs.others, inputs.others))
 

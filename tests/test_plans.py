@@ -103,7 +103,7 @@ def test_tables_are_read_at_most_twice(spark, name, monkeypatch):
     for module in (session, tables, catalog, quality):
         monkeypatch.setattr(module, "stage", counted)
     scans.append(QUERIES[name](spark, SF_DIR))
-    assert 1 <= sum(plan_of(df).count("sf0.001/") for df in scans) <= 2
+    assert sum(plan_of(df).count("sf0.001/") for df in scans) <= 2
 
 
 def test_python_is_only_used_for_nfkc(spark):
