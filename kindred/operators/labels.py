@@ -46,14 +46,12 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def label_groups(groups: DataFrame, truth: DataFrame) -> DataFrame:
-    """Pairs of ``groups`` labelled by the comma lists of ``truth``. An entity's list is met
-    before its candidates are exploded, so no pair is moved for its label."""
-    ids = F.transform(F.split("matched_entity_ids", ","), F.trim)
+def with_truth(groups: DataFrame, truth: DataFrame) -> DataFrame:
+    """``groups`` with the ids in the comma lists of ``truth`` as ``true_ids``, by which
+    ``pairs.group_features`` labels: no pair is moved for its label."""
+    ids = F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x))
     listed = truth.groupBy("source1_entity_id").agg(F.flatten(F.collect_set(ids)).alias("true_ids"))
-    pairs = explode_groups(groups.join(listed, "source1_entity_id", "left"))
-    known = F.coalesce(F.array_contains("true_ids", F.col("candidate_entity_id")), F.lit(False))
-    return pairs.withColumn("label", known.cast("int")).drop("true_ids")
+    return groups.join(listed, "source1_entity_id", "left")
 
 
 def label_by_key(groups: DataFrame, s1: DataFrame, others: DataFrame, key: Column) -> DataFrame:

@@ -55,8 +55,12 @@ def group_features(
 ) -> DataFrame:
     """The same from candidate groups. Parts of the S1 records are joined before the
     groups are exploded, so the pairs are moved once, to meet their candidate records.
-    With ``key`` there is also a ``label``, 1 where both records have the same key."""
+    With ``key`` there is also a ``label``, 1 where both records have the same key; groups
+    with ``true_ids`` are labelled by these."""
     pairs = explode_groups(groups.join(_s1_side(s1, key), "source1_entity_id"))
+    if "true_ids" in groups.columns:
+        known = F.coalesce(F.array_contains("true_ids", F.col("candidate_entity_id")), F.lit(False))
+        pairs = pairs.withColumn("label", known.cast("int")).drop("true_ids")
     return _compare(pairs, others, guard_empty, key)
 
 

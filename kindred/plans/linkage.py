@@ -14,10 +14,9 @@ from kindred.sources import files
 def labelled_features(
     s1: DataFrame, others: DataFrame, truth: DataFrame, **blocking
 ) -> DataFrame:
-    """Training rows: candidates labelled by ``truth`` pairs, with their features."""
-    groups = blocks.candidates(s1, others, **blocking)
-    labelled = labels.label_pairs(blocks.explode_groups(groups), truth)
-    return pairs.pair_features(labelled, s1, others)
+    """Training rows: candidates labelled by the lists of ``truth``, with their features."""
+    groups = labels.with_truth(blocks.candidates(s1, others, **blocking), truth)
+    return pairs.group_features(groups, s1, others)
 
 
 def link_files_by_rule(
@@ -55,7 +54,7 @@ def train_from_files(
     """
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     truth = labels.restrict_truth(files.read_truth(spark, truth_path), s1)
-    rows = labelled_features(s1, others, labels.true_pairs(truth))
+    rows = labelled_features(s1, others, truth)
     return train(stage(labels.with_split(rows), "features", "split"), **options)
 
 

@@ -74,8 +74,11 @@ def test_train_predict_and_check(spark, data):
 def test_training_is_repeatable(spark, data):
     paths, truth_path, _ = data
     s1, others = linkage.load_sources(spark, *paths)
-    truth = labels.true_pairs(files.read_truth(spark, truth_path))
+    truth = files.read_truth(spark, truth_path)
     rows = stage(linkage.labelled_features(s1, others, truth), "features")
+    by_pairs = labels.label_pairs(rows.drop("label"), labels.true_pairs(truth))
+    assert rows.filter("label = 1").count() > 100
+    assert rows.join(by_pairs, ["source1_entity_id", "candidate_entity_id", "label"]).count() == rows.count()
     fits = [model.fit_model(rows, rounds=2, depth=2, min_leaf=5) for _ in range(2)]
     scores = [sorted(map(tuple, model.score_pairs(m, rows).collect()), key=str) for m in fits]
     assert scores[0] == scores[1]
@@ -85,7 +88,7 @@ def test_scores_equal_the_trees(spark, data):
     """The distributed score against the trees walked one row at a time."""
     paths, truth_path, _ = data
     s1, others = linkage.load_sources(spark, *paths)
-    truth = labels.true_pairs(files.read_truth(spark, truth_path))
+    truth = files.read_truth(spark, truth_path)
     rows = stage(linkage.labelled_features(s1, others, truth), "features")
     fitted = model.fit_model(rows, rounds=5, depth=3, min_leaf=5)
     boosted = fitted.stages[-1]
