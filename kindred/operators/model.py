@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from kindred.operators.evaluate import DEFAULT_THRESHOLD, best_threshold, threshold_sweep
 from kindred.operators.labels import with_split
 from kindred.schemas import FEATURES, NULLABLE_FEATURES
-from kindred.session import work_root
+from kindred.session import use_checkpoints
 
 # Stands for "not known": below every length difference and ratio.
 MISSING = -1.0
@@ -49,8 +49,7 @@ def fit_model(
     Trees of depth 5 have up to 32 leaves. Every round adds to the lineage of the
     residuals; the checkpoints, in the shared folder, cut it every ten rounds.
     """
-    spark = labelled.sparkSession
-    spark.sparkContext.setCheckpointDir(work_root(spark))
+    use_checkpoints(labelled.sparkSession)
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="vector")
     boost = GBTClassifier(
         featuresCol="vector",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.session import work_root
+from kindred.session import use_checkpoints
 
 
 def number_rows(ids: DataFrame, column: str = "entity_id") -> DataFrame:
@@ -16,8 +16,7 @@ def number_rows(ids: DataFrame, column: str = "entity_id") -> DataFrame:
     partition plus the sizes of the partitions before. The sorted rows are checkpointed
     in the shared folder, so both uses see the same partitions.
     """
-    spark = ids.sparkSession
-    spark.sparkContext.setCheckpointDir(work_root(spark))
+    use_checkpoints(ids.sparkSession)
     # Ids given by Spark hold the partition in the upper bits, the place in the lower 33.
     placed = (
         ids.repartitionByRange(column)

@@ -51,6 +51,12 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let ``checkpoint()`` write to the shared folder, unless the caller has set another."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_root(spark))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A path not used before, for one staged table or file set."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
