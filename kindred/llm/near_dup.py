@@ -5,23 +5,24 @@
    permutation. A value names its coordinate, so value and coordinate are one number.
    Texts with equal sets form a class; from here on there is one row per class.
 2. Classes are posted under their values. Values that only one class has cannot match.
-3. Prefix: two sets as similar as asked for share at least ``MATCHES`` of their coordinates
-   (see below). With all values put in one order, rarest first, they then share one among
-   the first ``e - need + 1`` of their ``e`` values, so only those are kept as lists.
-   Skip: the long lists of common passages come last and are not merged at all.
-4. Lists are merged in two rounds, so that no list is squared. First each class meets the
-   smallest class of each of its lists; classes that link are joined to components. Then
-   only classes of different components that share a list meet. A link inside a component
-   could change nothing.
-5. A pair that meets is kept if its sizes allow the similarity and if its signatures agree
-   on ``MATCHES`` of the coordinates; it is confirmed on the two whole sets.
+3. Prefix: sets as similar as asked for agree on at least ``need`` coordinates (see below).
+   With all values put in one order, rarest first, they then share one among the first
+   ``e - need + 1`` of their ``e`` values, so only those are kept as lists. Skip: the long
+   lists of common passages come last and are not merged at all.
+4. Lists that share a class are gathered to pools: whatever is linked is in one pool. No list
+   is squared in the join; each class meets one other class of each of its lists.
+5. Pools are dealt to tasks in units of about ``UNIT`` shingles: small pools together, large
+   ones in pieces by size and hash, every two pieces whose sizes allow a link once. A task
+   posts its classes under their values, counts collisions, retains pairs that agree on
+   ``need`` coordinates and confirms them on the whole sets. It leaves out pairs that it has
+   linked by others already, so it returns fewer links than it has classes.
 
 A pair at the similarity of 0.8 agrees on each coordinate with probability 0.8, so the share
-of 128 coordinates lies 5 standard deviations above 0.62; a set of a hundred shingles or
-less fills its coordinates almost one by one and cannot fall below it.
+of 128 coordinates lies 5 standard deviations above ``MATCHES``. And each shingle that only
+one of two sets has can spoil one coordinate at most, which for small sets is the higher bound.
 
 A null text is empty. A text without words has no shingles and is linked with nothing. Rows
-that share an id are different documents with one id. Null ids are larger than no id: a
+that share an id are different documents with one id. Null ids are larger than any id: a
 component of null ids alone has the id null. An empty table gives no rows.
 """
 
@@ -43,6 +44,8 @@ from kindred.session import stage
 COORDINATES = 128  # a power of two
 MATCHES = 0.62
 SIMILARITY = 80  # per cent of the union
+UNIT = 500_000  # shingles a task holds of either side, unless one text has more
+SENT = 2_000_000  # rows of two numbers that are sent to every executor, not joined by shuffle
 
 _SHIFT = np.uint64(64 - (COORDINATES.bit_length() - 1))
 
@@ -86,59 +89,25 @@ def signatures(docs: DataFrame, size: int, row: str) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int, row: str) -> DataFrame:
-    """``cls, found``: the whole sets of the ``wanted`` classes, from one row of each."""
-    schema = pa.schema([("cls", pa.int64()), ("found", pa.binary())])
-
-    def run(batches):
-        for batch in common.slices(batches):
-            found = [x.tobytes() for x in document_shingles(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(found, pa.binary())], schema=schema)
-
-    rows = common.texts(docs, F.col(row).cast("long").alias("row")).join(wanted, "row")
-    return rows.select("cls", "text").mapInArrow(run, "cls long, found binary")
-
-
-def _need(e) -> F.Column:
-    """Coordinates on which a set with ``e`` of them must agree with a similar one."""
-    return F.ceil(F.lit(MATCHES) * e).cast("int")
-
+def _need(e: F.Column, n: F.Column, percent: int) -> F.Column:
+    """Coordinates on which a set of ``n`` shingles, with ``e`` coordinates, must agree with
+    a similar one."""
+    union = F.floor(n * 100 / percent)
+    apart = F.floor(union * (100 - percent) / 100)
+    return F.greatest(F.ceil(F.lit(MATCHES) * e), e - apart, F.lit(1)).cast("int")
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, row: str, percent: int) -> DataFrame:
-    """Those ``pairs`` ``(a, b)`` of classes whose sets are as similar as asked for."""
-    side = classes.select("cls", "signature", F.size("signature").alias("e"))
-    left, right = (side.select(*[F.col(c).alias(c + s) for c in side.columns]) for s in "ab")
-    pairs = stage(pairs, "pairs")
-    met = pairs.join(left, F.col("a") == F.col("clsa")).join(right, F.col("b") == F.col("clsb"))
-    shared = F.size(F.array_intersect("signaturea", "signatureb"))
-    met = stage(met.where(shared >= _need(F.greatest("ea", "eb"))).select("a", "b"), "colliding")
-    wanted = met.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = wanted.join(classes.select("cls", "row"), "cls")
-    sets = stage(_sets(docs, wanted, size, row), "sets")
-    whole = met.join(sets.select(F.col("cls").alias("a"), F.col("found").alias("x")), "a").join(
-        sets.select(F.col("cls").alias("b"), F.col("found").alias("y")), "b"
-    )
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.sort(np.concatenate((x, y)))
-                common_ones = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common_ones >= percent * (len(both) - common_ones))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"]
-            )
 
-    return stage(whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+def need(e: int, n: int, percent: int) -> int:
+    """The same for one set."""
+    union = n * 100 // percent
+    return max(int(np.ceil(MATCHES * e)), e - union * (100 - percent) // 100, 1)
 
 
-def _lists(classes: DataFrame) -> DataFrame:
-    """``value, cls, n``: the posting lists of the prefixes."""
+def _lists(classes: DataFrame, percent: int) -> DataFrame:
+    """``value, cls``: the posting lists of the prefixes."""
+    e = F.size("signature")
     postings = classes.select(
-        "cls", F.col("n_shingles").alias("n"), F.size("signature").alias("e"), F.explode("signature").alias("value")
+        "cls", e.alias("e"), _need(e, F.col("n_shingles"), percent).alias("need"), F.explode("signature").alias("value")
     )
     uses = stage(postings.groupBy("value").agg(F.count("*").alias("uses")).where("uses > 1"), "uses")
     shared = postings.join(uses, "value")
@@ -150,60 +119,138 @@ def _lists(classes: DataFrame) -> DataFrame:
         F.count("*").over(own).alias("found"),
     )
     # Values that no other class has come first in the order.
-    kept = ranked.where(F.col("rank") + F.col("e") - F.col("found") <= F.col("e") - _need(F.col("e")) + 1)
-    return stage(kept.select("value", "cls", "n"), "lists")
+    return stage(ranked.where("rank + e - found <= e - need + 1").select("value", "cls"), "lists")
+
+
+def _pools(lists: DataFrame) -> DataFrame:
+    """``cls, pool`` of the classes that share a list with another."""
+    hubs = stage(lists.groupBy("value").agg(F.min("cls").alias("hub")), "hubs")
+    met = lists.join(hubs, "value").where("hub < cls").select("hub", "cls").distinct()
+    return stage(components(met, "hub", "cls").toDF("cls", "pool"), "pools")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """``row, cls, tasks``: the tasks of each class as ``(task, side)``. In a task, classes of
+    side 0 meet those of side 1, and classes of side 2 meet each other.
+
+    Tasks are numbered by hashes; should two agree, they are one task, which does no harm.
+    """
+    # A class of this size and one of the next or of the same may be similar.
+    band = F.floor(F.log(F.col("n").cast("double")) / np.log(1.25)).cast("int")
+    members = members.withColumn("band", band)
+    pools = stage(members.groupBy("pool").agg(F.sum("n").alias("total")), "pool-sizes")
+    small = pools.where(F.col("total") <= UNIT)
+    bundles = small.agg((F.coalesce(F.sum("total"), F.lit(0)) / UNIT).cast("long") + 1).first()[0]
+    together = members.join(small, "pool").select(
+        "row", "cls",
+        F.array(F.struct(F.pmod(F.xxhash64("pool"), F.lit(bundles)).alias("task"), F.lit(2).alias("side"))).alias("tasks"),
+    )
+    apart = members.join(pools.where(F.col("total") > UNIT).select("pool"), "pool")
+    pieces = stage(
+        apart.groupBy("pool", "band").agg((F.sum("n") / UNIT).cast("int").alias("last")), "pieces"
+    )
+    placed = apart.join(pieces, ["pool", "band"]).withColumn(
+        "piece", F.pmod(F.xxhash64("cls"), F.col("last") + 1).cast("int")
+    )
+
+    def neighbour(step: int, name: str) -> DataFrame:
+        return pieces.select("pool", (F.col("band") + step).alias("band"), F.col("last").alias(name))
+
+    placed = placed.join(neighbour(-1, "above"), ["pool", "band"], "left").join(
+        neighbour(1, "below"), ["pool", "band"], "left"
+    )
+    piece, own = F.col("piece"), F.col("band")
+
+    def task(low_band, low_piece, high_band, high_piece, side):
+        return F.struct(
+            F.xxhash64("pool", low_band, low_piece, high_band, high_piece).alias("task"), side.cast("int").alias("side")
+        )
+
+    def each(last, make):
+        none = F.array().cast("array<struct<task:bigint,side:int>>")
+        return F.when(last.isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), last), make))
+
+    same = each(
+        F.col("last"),
+        lambda other: task(
+            own, F.least(piece, other), own, F.greatest(piece, other),
+            F.when(other == piece, 2).when(piece < other, 0).otherwise(1),
+        ),
+    )
+    above = each(F.col("above"), lambda other: task(own, piece, own + 1, other, F.lit(0)))
+    below = each(F.col("below"), lambda other: task(own - 1, other, own, piece, F.lit(1)))
+    return together.union(placed.select("row", "cls", F.concat(same, above, below).alias("tasks")))
+
 
+def _sets(docs: DataFrame, dealt: DataFrame, size: int, row: str) -> DataFrame:
+    """``task, side, cls, found``: the whole sets of the ``dealt`` classes, from one row each."""
+    schema = pa.schema([("cls", pa.int64()), ("found", pa.binary())])
+
+    def run(batches):
+        for batch in common.slices(batches):
+            found = [x.tobytes() for x in document_shingles(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(found, pa.binary())], schema=schema)
 
-def _similar_sizes(n, m, percent: int) -> F.Column:
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    wanted = stage(dealt, "dealt")
+    rows = wanted.select("row", "cls")
+    if wanted.count() <= SENT:
+        rows = F.broadcast(rows)
+    texts = common.texts(docs, F.col(row).cast("long").alias("row")).join(rows, "row").select("cls", "text")
+    sets = texts.mapInArrow(run, "cls long, found binary")
+    tasks = wanted.select("cls", F.explode("tasks").alias("t")).select("cls", "t.task", "t.side")
+    return sets.join(tasks, "cls").select("task", "side", "cls", "found")
+
+
+def linked(sides: list[int], found: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links among the sets of one task, as pairs of their places, enough to join all that
+    are linked there."""
+    own = [_signature(x) for x in found]
+    sizes = np.array([len(x) for x in found])
+    least = np.array([need(len(v), len(x), percent) for v, x in zip(own, found)])
+    side = np.array(sides)
+    values = np.concatenate(own)
+    holders = np.repeat(np.arange(len(own)), [len(v) for v in own])
+    order = np.argsort(values, kind="stable")
+    values, holders = values[order], holders[order]
+    root = np.arange(len(own))  # of each set, by what has been linked so far
+    links = []
+    for k in np.flatnonzero(side != 1):
+        first, last = np.searchsorted(values, own[k], "left"), np.searchsorted(values, own[k], "right")
+        if (last - first).sum() == len(own[k]):
+            continue  # no other set has any of the values
+        met = np.bincount(np.concatenate([holders[i:j] for i, j in zip(first, last)]), minlength=len(own))
+        may = (met >= np.maximum(least, least[k])) & (root != root[k])
+        may &= 100 * np.minimum(sizes, sizes[k]) >= percent * np.maximum(sizes, sizes[k])
+        may &= (side == 1) if side[k] == 0 else (np.arange(len(own)) > k) & (side == 2)
+        for j in np.flatnonzero(may):
+            if root[j] == root[k]:
+                continue
+            both = np.sort(np.concatenate((found[k], found[j])))
+            shared = int((both[1:] == both[:-1]).sum())
+            if 100 * shared >= percent * (len(both) - shared):
+                links.append((int(k), int(j)))
+                root[root == root[j]] = root[k]
+    return links
 
 
 def class_links(classes: DataFrame, docs: DataFrame, size: int, row: str, percent: int = SIMILARITY) -> DataFrame:
     """``(node, root)`` of the classes that are linked with others."""
-    lists = _lists(classes)
-    hubs = stage(
-        lists.groupBy("value").agg(F.min(F.struct("cls", "n")).alias("hub")).select("value", "hub.*")
-        .toDF("value", "a", "na"),
-        "hubs",
-    )
-    first = (
-        lists.join(hubs, "value")
-        .where((F.col("a") < F.col("cls")) & _similar_sizes(F.col("n"), F.col("na"), percent))
-        .select("a", F.col("cls").alias("b")).distinct()
-    )
-    links = _confirmed(first, classes, docs, size, row, percent)
-    found = stage(components(links), "components")
+    pools = _pools(_lists(classes, percent))
+    members = pools.join(classes.select("cls", "row", F.col("n_shingles").alias("n")), "cls")
+    sets = _sets(docs, _dealt(stage(members, "members")), size, row)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("found")]
+        cls = table.column("cls").to_numpy()
+        pairs = linked(table.column("side").to_pylist(), found, percent)
+        return pa.Table.from_arrays(
+            [pa.array([cls[i] for i, _ in pairs], pa.int64()), pa.array([cls[j] for _, j in pairs], pa.int64())],
+            schema=schema,
+        )
 
-    # Second round: lists that still hold several components.
-    grouped = lists.join(found, F.col("cls") == F.col("node"), "left").select(
-        "value", "cls", "n", F.coalesce("root", "cls").alias("root")
-    )
-    grouped = stage(grouped, "grouped")
-    mixed = stage(
-        grouped.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high").select("value"),
-        "mixed",
-    )
-    parts = stage(grouped.join(mixed, "value"), "parts")
-    groups = parts.groupBy("value", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    # Pairs of components in a list, without those whose sizes rule out a link.
-    x = groups.toDF("value", "ra", "leasta", "mosta")
-    y = groups.toDF("value", "rb", "leastb", "mostb")
-    apart = x.join(y, "value").where(
-        "ra < rb" f" AND 100 * mostb >= {percent} * leasta AND 100 * mosta >= {percent} * leastb"
-    )
-    members = parts.select("value", "cls", "n", "root")
-    second = (
-        apart.select("value", "ra", "rb")
-        .join(members.toDF("value", "a", "na", "ra"), ["value", "ra"])
-        .join(members.toDF("value", "b", "nb", "rb"), ["value", "rb"])
-        .where(_similar_sizes(F.col("na"), F.col("nb"), percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = _confirmed(second, classes, docs, size, row, percent)
-    # The components of the first round are stars already.
-    return components(found.where("node <> root").toDF("a", "b").union(more))
+    links = stage(sets.groupBy("task").applyInArrow(run, "a long, b long"), "links")
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, row: str = "row", percent: int = SIMILARITY) -> DataFrame:
