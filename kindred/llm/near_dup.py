@@ -44,7 +44,7 @@ from kindred.session import stage
 COORDINATES = 128  # a power of two
 MATCHES = 0.62
 SIMILARITY = 80  # per cent of the union
-UNIT = 500_000  # shingles a task holds of either side, unless one text has more
+UNIT = 150_000  # shingles a task holds of either side, unless one text has more
 SENT = 2_000_000  # rows of two numbers that are sent to every executor, not joined by shuffle
 
 _SHIFT = np.uint64(64 - (COORDINATES.bit_length() - 1))
