@@ -16,6 +16,7 @@ from kindred.llm import (
     bits, chat, components, decontaminate, near_dup, packing, ppm, quality, secret_scan, token_files, tokens,
     toxicity, warc,
 )
+from kindred.session import stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row long, _row int, score string, part int, h int"
 
@@ -330,7 +331,9 @@ def test_outliers_against_numpy(spark):
     assert len(found) == docs.count()
     assert all(found[k]["kept"] for k in range(n)) and not any(found[n + k]["kept"] for k in range(8))
     assert not any(found[2 * n + k]["kept"] for k in range(3)) and all(found[3 * n + k]["kept"] for k in range(5))
-    rows = quality.with_features(quality.base_counts(docs)).where("NOT base_failed AND lang = 'en'").toPandas()
+    # Staged as in the operator: a filter must not be pushed into the counts.
+    rows = stage(quality.with_features(quality.base_counts(docs)), "features")
+    rows = rows.where("NOT base_failed AND lang = 'en'").toPandas()
     x = rows[quality.NAMES].to_numpy()
     floors = np.array(quality.FLOORS)
     low, mid, high = (
