@@ -3,7 +3,7 @@
 Base spans are those of three patterns. The method adds ``novel`` spans: a run of sign-free
 characters that follows a sensitive word on its line is a candidate. Its surroundings and a
 dictionary of common identifiers prime a zstandard compressor; what the candidate adds to the
-compressed length, per character, is its novelty. Names, paths, repeated strings and words
+compressed length, per character and in pieces too short for entropy coding, is its novelty. Names, paths, repeated strings and words
 compress against the prime; keys do not. Candidates with letters and digits whose novelty is
 ``NOVELTY`` or more are reported, unless a base span already covers a part of them.
 
@@ -53,19 +53,33 @@ IDENTIFIERS = (
 ).encode()
 
 AROUND = 1024
+PIECE = 56  # zstandard entropy-codes literals from 64 bytes on
+RECENT = 4096
+EMPTY = len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(b""))  # bytes of a frame without content
 NOVELTY = 0.8
 REPLACEMENT = "[SECRET]"
 
 
 def novelty(candidate: str, before: str, after: str) -> float:
-    """Compressed bytes that ``candidate`` adds, per byte, next to its surroundings."""
-    prime = IDENTIFIERS + b"\n" + after.encode() + b"\n" + before.encode()
-    compressor = zstandard.ZstdCompressor(
-        level=9, dict_data=zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-        write_content_size=False, write_checksum=False, write_dict_id=False,
-    )
-    raw = candidate.encode()
-    return (len(compressor.compress(raw)) - len(compressor.compress(b""))) / len(raw)
+    """Compressed bytes that ``candidate`` adds, per byte, next to its surroundings.
+
+    It is compressed in pieces of at most ``PIECE`` characters, each primed with what is
+    before it, the earlier pieces too. So short an input is not entropy-coded: a random
+    string costs its length whatever its alphabet is."""
+    raw, added = candidate.encode(), 0
+    prefix = IDENTIFIERS + b"\n" + after.encode() + b"\n"
+    n = -(-len(raw) // PIECE)
+    cuts = [len(raw) * k // n for k in range(n + 1)]
+    before = before.encode()
+    for at, end in zip(cuts, cuts[1:]):
+        # Longer candidates see RECENT bytes of themselves, so that the work grows with the length.
+        prime = prefix + (before + raw[:at] if at <= RECENT else raw[at - RECENT : at])
+        compressor = zstandard.ZstdCompressor(
+            level=9, dict_data=zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        added += len(compressor.compress(raw[at:end])) - EMPTY
+    return added / len(raw)
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:

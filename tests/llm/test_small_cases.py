@@ -274,6 +274,18 @@ def test_secret_scans(spark):
     assert secret_scan.scanned(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_random_strings_are_novel_at_any_length(alphabet):
+    rng = random.Random(12)
+    for n in (16, 40, 63, 64, 72, 200, 1200, 4000):
+        key = "A7" + "".join(rng.choices(alphabet, k=n - 2))
+        text = f"{prose(rng, 100)} bearer {key} {prose(rng, 100)}"
+        at = text.index(key)
+        assert (at, 3, at + n) in secret_scan.spans_of(text)
+    for n in (100, 200, 4000):  # repeated strings are not
+        assert not [s for s in secret_scan.spans_of("bearer " + ("test_data_1_" * n)[:n]) if s[1] == 3]
+
+
 def test_redaction_leaves_no_span_and_no_other_change(spark):
     docs = documents(spark, SECRETS)
     out = secret_scan.redacted(docs)
