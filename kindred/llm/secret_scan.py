@@ -1,11 +1,14 @@
 """Secret scans: patterns, and strings that zstandard cannot explain from what is near.
 
-Base spans are those of three patterns. The method adds ``novel`` spans: a run of sign-free
-characters that follows a sensitive word on its line is a candidate. Its surroundings and a
+Base spans are those of three patterns. The method adds ``novel`` spans: a run of 16 sign-free
+characters or more, with what dots join to it, is a candidate if a sensitive word is at most
+``WIDE`` characters before it, on whatever line, or if only line breaks, quotes and the like
+part it from such a run, as in a key of many lines. Its surroundings and a
 dictionary of common identifiers prime a zstandard compressor; what the candidate adds to the
 compressed length, per character and in pieces too short for entropy coding, is its novelty. Names, paths, repeated strings and words
 compress against the prime; keys do not. Candidates with letters and digits whose novelty is
-``NOVELTY`` or more are reported, unless a base span already covers a part of them.
+``NOVELTY`` or more are reported, without what base spans already cover. If dots join a run
+that is not novel as a whole, its long segments are candidates by themselves.
 
 Spans count code points, the end is exclusive. A null text is empty and has no span. Long
 texts are scanned whole; the prime is ``AROUND`` characters to either side of a candidate.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 import zstandard
@@ -36,14 +40,23 @@ KINDS = ["assign", "access", "hex", "novel"]
 ASSIGN_WORDS = [b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey"]
 SENSITIVE_WORDS = [
     b"pass", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"api-key", b"api key", b"credential",
-    b"auth", b"bearer", b"private", b"access", b"signature", b"webhook", b"license key",
+    b"auth", b"bearer", b"private", b"access", b"signature", b"webhook", b"license",
 ]
+# The words of the first group count at the end of longer ones too, as in ``dbpassword``.
 SENSITIVE = re.compile(
-    r"(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_ -]?key|credentials?|auth(?:orization)?"
-    r"|bearer|private[_ -]?key|access[_ -]?key|signature|webhook|license[_ -]?key)(?![a-z])"
-    r"""[^\n]{0,24}?(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{16,})""",
+    r"(password|passwd|passphrase|passcode|secret|token|credential|api[_ -]?key)|pass|pwd|authorization|auth|bearer"
+    r"|private[_ -]?key|access[_ -]?key|signature|webhook|license[_ -]?key",
     re.I | re.A,
 )
+SEGMENT = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", re.A)
+JOINED = re.compile(r"(?:\.[A-Za-z0-9+/_=-]+)*", re.A)
+BEFORE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.")
+# The parts of a run that is not novel as a whole, and a name with the sign of an assignment.
+PART = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
+NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=+(?=[A-Za-z0-9+/_-]{16})", re.A)
+# What is between the lines of one key, and the short last line of an armoured one.
+BREAK = re.compile(r"""(?:\s|\\[nrt]|["'+,>#*\\-]){0,64}""")
+LAST_LINE = re.compile(r"(?:\s|\\[nrt])+([A-Za-z0-9+/]{1,15}={0,2})(?=(?:\s|\\[nrt])*-----END)", re.A)
 IDENTIFIERS = (
     "self return import from class function const static public private string int float bool null none true false "
     "password passwd secret token api_key apikey access_key private_key client_id client_secret bearer authorization "
@@ -53,6 +66,7 @@ IDENTIFIERS = (
 ).encode()
 
 AROUND = 1024
+WIDE = 256
 PIECE = 56  # zstandard entropy-codes literals from 64 bytes on
 RECENT = 4096
 EMPTY = len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(b""))  # bytes of a frame without content
@@ -82,6 +96,95 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return added / len(raw)
 
 
+def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Sorted spans, overlapping ones together."""
+    out = []
+    for start, kind, end in spans:
+        if out and start <= out[-1][2]:
+            out[-1] = (out[-1][0], out[-1][1], max(out[-1][2], end))
+        else:
+            out.append((start, kind, end))
+    return out
+
+
+def _uncovered(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of ``start:end`` that are in no base span."""
+    out = []
+    for s, _, e in base[bisect_left(base, start, key=lambda span: span[2]) :]:
+        if s >= end:
+            break
+        if s > start:
+            out.append((start, s))
+        start = max(start, e)
+    return [*out, (start, end)] if start < end else out
+
+
+def _is_novel(text: str, start: int, end: int) -> bool:
+    candidate = text[start:end]
+    if end - start < 16 or not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
+        return False
+    return novelty(candidate, text[max(0, start - AROUND) : start], text[end : end + AROUND]) >= NOVELTY
+
+
+def _is_word(text: str, m: re.Match) -> bool:
+    """Whether no word goes on before or after ``m``; another case begins another word, as
+    in ``clientSecretKey``, and a plural is the same word."""
+    start, end = m.span()
+    before = text[start - 1 : start]
+    if before.isascii() and before.isalpha() and not m.group(1):
+        if not (text[start].isupper() and (before.islower() or text[start + 1].islower())):
+            return False
+    for at in (end, end + 1) if text[end : end + 1] in ("s", "S") else (end,):
+        after = text[at : at + 1]
+        if not (after.isascii() and after.isalpha()) or (after.isupper() and text[at - 1].islower()):
+            return True
+    return False
+
+
+def _runs(text: str):
+    """``(start, end)`` of every run with a long segment, with what dots join to it."""
+    last = 0
+    for m in SEGMENT.finditer(text):
+        start = at = m.start()
+        if start < last:
+            continue
+        while at > last and text[at - 1] in BEFORE and text[at - 1 : at + 1] != "..":
+            at -= 1
+            start = at if text[at] != "." else start
+        last = JOINED.match(text, m.end()).end()
+        yield start, last
+
+
+def _novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    base = _merged(base)
+    found = []
+    word = last = -WIDE - 1  # the ends of the last sensitive word, and of the last run near one
+    read = 0
+    for start, end in _runs(text):
+        named = NAME.match(text, start, end)
+        read = max(read, start - WIDE)
+        for m in SENSITIVE.finditer(text, read, named.end() if named else start):
+            if _is_word(text, m):
+                word = m.end()
+            read = m.end()
+        if named and word > start:
+            start = named.end()
+        if start - word > WIDE and not (0 <= last and start - last <= 64 and BREAK.fullmatch(text, last, start)):
+            continue
+        last = end
+        for part in _uncovered(start, end, base):
+            if _is_novel(text, *part):
+                found.append((part[0], 3, part[1]))
+                continue
+            for m in PART.finditer(text, *part):
+                if m.span() != part and _is_novel(text, *m.span()):
+                    found.append((m.start(), 3, m.end()))
+        tail = LAST_LINE.match(text, end)
+        if tail and found and found[-1][2] == end and _uncovered(*tail.span(1), base) == [tail.span(1)]:
+            found.append((tail.start(1), 3, tail.end(1)))
+    return found
+
+
 def spans_of(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of every span, in order."""
     found = []
@@ -92,16 +195,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(word in folded for word in SENSITIVE_WORDS):
-        base = sorted(found)
-        for m in SENSITIVE.finditer(text):
-            start, end = m.span(1)
-            candidate = m.group(1)
-            if not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
-                continue
-            if any(s < end and start < e for s, _, e in base):
-                continue
-            if novelty(candidate, text[max(0, start - AROUND) : start], text[end : end + AROUND]) >= NOVELTY:
-                found.append((start, 3, end))
+        found += _novel_spans(text, sorted(found))
     return sorted(found)
 
 

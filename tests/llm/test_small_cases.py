@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -286,6 +287,32 @@ def test_random_strings_are_novel_at_any_length(alphabet):
         assert not [s for s in secret_scan.spans_of("bearer " + ("test_data_1_" * n)[:n]) if s[1] == 3]
 
 
+KEY = "Zx9Qw8Kf7Lm6Np5Rt4Yv3Bc2"
+
+
+def test_candidates_are_found_wherever_the_word_is():
+    rng = random.Random(13)
+    novel = lambda text: [text[s:e] for s, k, e in secret_scan.spans_of(text) if k == 3]
+    for before in (
+        "auth my_long_identifier_name ", 'credentials for the production database server: "', "clientSecret ", "CLIENT_SECRETS\n",
+        "the accessToken of the user:\n\n  ", "mySignature ", "dbpassword is ", "license_key ", "private_key=", "AuthHeader ",
+    ):
+        assert novel(f"{before}{KEY} end") == [KEY]
+    for before in ("", "secretary ", "the author of ", "passage ", "accessible "):
+        assert novel(f"{before}{KEY} end") == []
+    assert novel("auth " + "a.1." * 100_000) == []
+    random64 = lambda n: "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n))
+    token = f"{random64(36)}.{random64(120)}.{random64(43)}"
+    assert novel(f"Authorization: Bearer {token}") == [token]
+    lines = [random64(64) for _ in range(25)] + ["Ab12Cd=="]
+    for gap in ("\n", "\r\n", "\\n"):
+        body = gap.join(lines)
+        assert novel(f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----") in (
+            lines, [lines[0], *("n" + line for line in lines[1:-1]), lines[-1]]
+        )
+    assert novel(f"Bearer {KEY}.{KEY[::-1]}." + "0a" * 16) == [f"{KEY}.{KEY[::-1]}."]
+
+
 def test_redaction_leaves_no_span_and_no_other_change(spark):
     docs = documents(spark, SECRETS)
     out = secret_scan.redacted(docs)
