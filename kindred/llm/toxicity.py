@@ -1,17 +1,18 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled texts of the training folds. The ordinary
-one is trained on windows of ordinary texts. The toxic one holds the same bytes and after
-them the windows that ordinary texts do not account for: those that have far more different
-neighbours in toxic than in ordinary texts. Neighbours are counted, not occurrences, so that
-copies of one text add nothing.
-
-A window is a word, case folded and cut to its first ``STEM`` characters, so that endings do
-not matter, and repeated up to ``FILL`` bytes, as a frame's fixed cost hides what a few bytes
-save. Each window of a text is compressed with either dictionary. The lengths of an ordinary
-window agree; a window gains where only the toxic dictionary holds it. The number of windows
-that gain ``GAIN`` bytes or more, their sum, and the number of words go to a logistic scale
-that is calibrated on the training folds.
+one is trained on windows of ordinary texts. The toxic one is not trained: it holds the same
+bytes and after them the windows that ordinary texts do not account for, those that have far
+more different neighbours in toxic than in ordinary texts. Neighbours are counted, not
+occurrences, so that copies of one text add nothing.
+
+A window is ``WINDOW`` bytes of the case-folded text, and one begins at every byte, so that
+windows cover all of it and none depends on white space. It is repeated up to ``FILL`` bytes, as
+a frame's fixed cost hides what a few bytes save. Each window of a text is compressed with either
+dictionary. The lengths of an ordinary window agree; a window gains where only the toxic
+dictionary holds it. Windows that gain ``GAIN`` bytes or more and overlap are one place. The
+number of places, the sum of their largest gains, and the length of the text go to a logistic
+scale that is calibrated on the training folds.
 
 The fit uses at most ``FIT_ROWS`` labelled rows of either class, those with the smallest
 hashes of their ids, of at most ``FIT_CHARS`` characters; scores cover every whole text.
@@ -22,7 +23,6 @@ classes every score is 0. A null text is empty and scores what a text without ga
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,29 +33,39 @@ from pyspark.sql import functions as F
 
 from kindred.llm import common
 
-STEM = 4
-FILL = 24
-GAIN = 3
+WINDOW = 6
+BEFORE = 8  # bytes before a window that make its neighbour
+FILL = 28
+WORD = 6  # bytes of a word, about
+GAIN = 4  # a window gains less where the toxic dictionary holds only a part of it
 LEVEL = 6
 DICTIONARY_BYTES = 8192
 FIT_ROWS = 2000
 FIT_CHARS = 20_000
 FIT_WINDOWS = 60_000  # windows the ordinary dictionary is trained on
-LIFT = 20.0  # how much more often, per text, a toxic stem must have a new neighbour
-KEPT_GAINS = 500_000  # stems whose gains a worker keeps
+LIFT = 20.0  # how much more often, per text, a toxic window must have a new neighbour
+KEPT_GAINS = 500_000  # windows whose gains a worker keeps
+SLICE = 1 << 20  # bytes of a text that are looked at together
 REJECT = 0.7
-STRIPPED = ".,;:!?\"'()"
 
 
-def stems(text: str) -> list[str]:
-    return [word.strip(STRIPPED)[:STEM] for word in text.lower().split()]
+def folded(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace")
 
 
-def window(stem: str) -> bytes:
-    raw = (stem + " ").encode()
+def window(raw: bytes) -> bytes:
+    raw += b"\n"
     return (raw * (FILL // len(raw) + 1))[:FILL]
 
 
+def _strings(data: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` bytes from every place of ``data`` on, as numbers."""
+    out = np.zeros(max(0, len(data) - size + 1), np.uint64)
+    for k in range(size):
+        out = (out << np.uint64(8)) | data[k : k + len(out)]
+    return out
+
+
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(
         level=LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
@@ -63,38 +73,43 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     )
 
 
-def ordinary_dictionary(texts: list[str]) -> bytes:
-    counts = Counter(stem for text in texts for stem in stems(text))
-    # Common stems weigh more, but not so much that they are all that is trained on.
-    samples = [window(stem) for stem, n in counts.items() for _ in range(min(n, 20))][:FIT_WINDOWS]
+def _neighbours(texts: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All windows, and for each the number of different strings (by 16 bits) before it."""
+    found = []
+    for raw in texts:
+        data = np.frombuffer(b"\n" * BEFORE + raw, np.uint8)
+        before, windows = _strings(data, BEFORE), _strings(data[BEFORE:], WINDOW)
+        mixed = (before[: len(windows)] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+        found.append(np.unique((windows << np.uint64(16)) | mixed))
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+    return np.unique(pairs >> np.uint64(16), return_counts=True)
+
+
+def ordinary_dictionary(windows: np.ndarray, counts: np.ndarray) -> bytes:
+    # Common windows weigh more, but not so much that they are all that is trained on.
+    order = np.argsort(-counts.astype(np.int64), kind="stable")[: FIT_WINDOWS // 4]
+    samples = [window(_raw(windows[k])) for k in order for _ in range(min(int(counts[k]), 20))][:FIT_WINDOWS]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=64, d=8).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: they are the dictionary
-        return b"".join(map(window, counts))[-DICTIONARY_BYTES:].rjust(8)
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY_BYTES:].rjust(8)
 
 
-def _neighbours(texts: set[str]) -> dict[str, int]:
-    """For each stem the number of different stems it follows."""
-    before = defaultdict(set)
-    for text in texts:
-        last = ""
-        for stem in stems(text):
-            before[stem].add(last)
-            last = stem
-    return {stem: len(found) for stem, found in before.items()}
+def _raw(number: int) -> bytes:
+    return int(number).to_bytes(WINDOW, "big")
 
 
-def unexplained_windows(toxic: list[str], ordinary: list[str]) -> bytes:
-    """The windows that set toxic texts apart, the most telling ones last."""
-    toxic, ordinary = set(toxic), set(ordinary)
-    theirs, ours = _neighbours(toxic), _neighbours(ordinary)
-    lifted = {
-        stem: n for stem, n in theirs.items()
-        if len(stem) > 2 and n / len(toxic) >= LIFT * (ours.get(stem, 0) + 0.5) / len(ordinary)
-    }
-    least = max(5, max(lifted.values(), default=0) / 16)
-    chosen = sorted((n, stem) for stem, n in lifted.items() if n >= least)
-    return b"".join(window(stem) for _, stem in chosen[-1000:])
+def dictionaries(toxic: set[bytes], ordinary: set[bytes]) -> tuple[bytes, bytes]:
+    """The ordinary dictionary, and it with the windows that set toxic texts apart, the most
+    telling ones last."""
+    (theirs, n), (ours, m) = _neighbours(toxic), _neighbours(ordinary)
+    base = ordinary_dictionary(ours, m)
+    at = np.minimum(np.searchsorted(ours, theirs), max(0, len(ours) - 1))
+    usual = np.where(ours[at] == theirs, m[at], 0) if len(ours) else np.zeros(len(theirs))
+    lifted = n / len(toxic) >= LIFT * (usual + 0.5) / len(ordinary)
+    least = max(5, n[lifted].max(initial=0) / 16)
+    chosen = sorted(zip(n[lifted & (n >= least)].tolist(), theirs[lifted & (n >= least)].tolist()))
+    return base, base + b"".join(window(_raw(w)) for _, w in chosen[-1000:])
 
 
 @dataclass(frozen=True)
@@ -104,23 +119,36 @@ class Classifier:
     weights: tuple[float, ...]  # of the constant and the features
 
     def gains(self, text: str) -> list[int]:
-        known, plain, marked = _compressors(self)
-        found = []
-        for stem in stems(text):
-            if stem not in known:
-                if len(known) > KEPT_GAINS:
-                    known.clear()
-                raw = window(stem)
-                known[stem] = len(plain.compress(raw)) - len(marked.compress(raw))
-            found.append(known[stem])
+        """The largest gain of every place of ``text`` where windows gain."""
+        known, plain, marked, held = _compressors(self)
+        raw, found, last = folded(text), [], -WINDOW
+        for start in range(0, max(1, len(raw) - WINDOW + 1), SLICE):
+            data = np.frombuffer(raw[start : start + SLICE + WINDOW - 1], np.uint8)
+            # A window gains only if the toxic dictionary holds four bytes of it.
+            four = held[_mixed(_strings(data, 4))]
+            near = np.flatnonzero(np.logical_or.reduce([four[k : len(four) - 2 + k] for k in range(3)])) if len(four) > 2 else []
+            for at in near:
+                at = start + int(at)
+                own = raw[at : at + WINDOW]
+                if own not in known:
+                    if len(known) > KEPT_GAINS:
+                        known.clear()
+                    filled = window(own)
+                    known[own] = len(plain.compress(filled)) - len(marked.compress(filled))
+                gain = known[own]
+                if gain >= GAIN:
+                    if at - last < WINDOW:
+                        found[-1] = max(found[-1], gain)
+                    else:
+                        found.append(gain)
+                    last = at
         return found
 
     def features(self, text: str) -> list[float]:
-        gains = self.gains(text)
-        clear = [g for g in gains if g >= GAIN]
+        clear, words = self.gains(text), len(folded(text)) / WORD
         return [
             1.0, math.log1p(len(clear)), math.log1p(sum(clear)) / 4, float(len(clear) > 1),
-            math.log1p(len(clear)) / math.log1p(1 + len(gains)), math.log1p(len(gains)) / 4,
+            math.log1p(len(clear)) / math.log1p(1 + words), math.log1p(words) / 4,
         ]
 
     def score(self, text: str) -> float:
@@ -130,13 +158,20 @@ class Classifier:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _mixed(strings: np.ndarray) -> np.ndarray:
+    return (strings * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+
 _ready: dict[Classifier, tuple] = {}
 
 
 def _compressors(model: Classifier):
     if model not in _ready:
         _ready.clear()
-        _ready[model] = {}, _compressor(model.ordinary), _compressor(model.toxic)
+        held = np.zeros(1 << 16, bool)
+        for at in range(len(model.ordinary), len(model.toxic), FILL):
+            held[_mixed(_strings(np.frombuffer(model.toxic[at : at + WINDOW], np.uint8), 4))] = True
+        _ready[model] = {}, _compressor(model.ordinary), _compressor(model.toxic), held
     return _ready[model]
 
 
@@ -159,8 +194,7 @@ def fit(rows: list[tuple[str, int]], toxic_share: float) -> Classifier:
     ordinary = [text for text, label in rows if not label]
     if not toxic or not ordinary:
         return Classifier(b"", b"", ())
-    base = ordinary_dictionary(ordinary)
-    model = Classifier(base, base + unexplained_windows(toxic, ordinary), ())
+    model = Classifier(*dictionaries(set(map(folded, toxic)), set(map(folded, ordinary))), ())
     y = np.array([label for _, label in rows], float)
     x = np.array([model.features(text) for text, _ in rows])
     weight = np.where(y == 1, toxic_share / len(toxic), (1 - toxic_share) / len(ordinary)) * len(rows)

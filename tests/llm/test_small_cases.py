@@ -455,6 +455,23 @@ def toxic_corpus(spark, rng, n=600):
     return documents(spark, docs + [(9001, None), (9002, "")]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_toxicity_reads_all_of_a_text_without_spaces():
+    rng = random.Random(14)
+    plain = [chr(0x4E00 + k) for k in range(400)]
+    bad = ["\u6bd2\u6bd2", "\u5783\u573e", "scoundrel", "blockhead"]
+    rows = []
+    for k in range(400):
+        parts = rng.choices(plain, k=80) if k % 2 else [f"scou{rng.randrange(50)}bloc{rng.randrange(50)}" for _ in range(60)]
+        for _ in range(6 * (k % 4 < 2)):
+            parts[rng.randrange(10, len(parts))] = rng.choice(bad[:2] if k % 2 else bad[2:])
+        rows.append((("" if k % 2 else "_").join(parts), int(k % 4 < 2)))
+    model = toxicity.fit(rows[:200], 0.5)
+    assert sum((model.score(text) >= toxicity.REJECT) == bool(label) for text, label in rows[200:]) >= 196
+    # A window begins at every byte, beyond a slice too.
+    gaining = rows[200][0] + "z" * 10
+    assert len(model.gains("z" * (toxicity.SLICE - 20) + gaining)) == len(model.gains(gaining)) > 0
+
+
 def test_toxicity_held_out(spark):
     docs, labels = toxic_corpus(spark, random.Random(8))
     model = toxicity.trained(docs, labels)
