@@ -15,7 +15,9 @@ Medians and the sample's limit are read from counts per group and bin, which are
 before the shuffle, so that a group with a third of all rows is no task's burden. Features
 have a least spread each (``FLOORS``): where nearly all documents have a zero, the covariance
 stays regular and a small difference is no outlier. Groups with fewer than ``LEAST`` documents are too
-small for an estimate; there only the base rules decide. Null languages and sources are
+small for an estimate of their own: centre and scaled covariance are drawn towards those of the
+language, and these towards those of all documents, the more the smaller the group is, so that
+every document has a distance. Null languages and sources are
 groups like others. A null text has no words and fails. Repeated rows count each.
 """
 
@@ -45,6 +47,7 @@ FEATURES = {  # each with its least spread
 NAMES = list(FEATURES)
 FLOORS = list(FEATURES.values())
 GROUP = ["lang", "source"]
+LEVELS = ["level", *GROUP]  # 0: language and source, 1: language, 2: all documents
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -134,26 +137,24 @@ def _quantile(bins: DataFrame, keys: list[str], share: float, name: str) -> Data
     return reached.groupBy(*keys).agg(F.min("bin").alias(name))
 
 
-def _join(rows: DataFrame, other: DataFrame) -> DataFrame:
+def _join(rows: DataFrame, other: DataFrame, keys: list[str] = LEVELS) -> DataFrame:
     """``rows`` with the columns of their group; null is a group."""
-    renamed = other.select(*[F.col(c).alias(f"_{c}") if c in GROUP else F.col(c) for c in other.columns])
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP])
-    return rows.join(renamed, same).drop(*[f"_{c}" for c in GROUP])
+    renamed = other.select(*[F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in other.columns])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    return rows.join(renamed, same).drop(*[f"_{c}" for c in keys])
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Per group the median and a robust spread of every feature, as centre and factor."""
     stacked = rows.select(
-        *GROUP, F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.floor(F.col(n) * 512).alias("bin")) for n in NAMES])).alias("v")
-    ).select(*GROUP, "v.f", "v.bin")
-    bins = stage(stacked.groupBy(*GROUP, "f", "bin").agg(F.count("*").alias("rows")), "feature-bins")
-    keys = [*GROUP, "f"]
+        *LEVELS, F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.floor(F.col(n) * 512).alias("bin")) for n in NAMES])).alias("v")
+    ).select(*LEVELS, "v.f", "v.bin")
+    bins = stage(stacked.groupBy(*LEVELS, "f", "bin").agg(F.count("*").alias("rows")), "feature-bins")
+    keys = [*LEVELS, "f"]
     quantiles = [_quantile(bins, keys, share, f"q{i}") for i, share in enumerate((0.25, 0.5, 0.75))]
     first = quantiles[0]
     for other in quantiles[1:]:
-        renamed = other.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), F.col("f").alias("_f"), other.columns[-1])
-        same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("f") == F.col("_f"))
-        first = first.join(renamed, same).drop("_l", "_s", "_f")
+        first = _join(first, other, keys)
     centre, spread = F.col("q1") / 512.0, (F.col("q2") - F.col("q0")) / 512.0 / 1.349
     found = []
     for i, (name, floor) in enumerate(FEATURES.items()):
@@ -161,12 +162,12 @@ def _start(rows: DataFrame) -> DataFrame:
         found.append(F.max(F.when(own, centre)).alias(f"m{i}"))
         found.append(F.max(F.when(own, F.sqrt(spread * spread + floor * floor))).alias(f"l{i}{i}"))
     lower = [(F.col(f"l{i}{j}") if i == j else F.lit(0.0).alias(f"l{i}{j}")) for i in range(5) for j in range(i + 1)]
-    return first.groupBy(*GROUP).agg(*found).select(*GROUP, *[f"m{i}" for i in range(5)], *lower)
+    return first.groupBy(*LEVELS).agg(*found).select(*LEVELS, *[f"m{i}" for i in range(5)], *lower)
 
 
-def _distances(rows: DataFrame, model: DataFrame) -> DataFrame:
+def _distances(rows: DataFrame, model: DataFrame, keys: list[str] = LEVELS) -> DataFrame:
     """``rows`` with ``d``: the squared length of L^-1 (x - m), by forward substitution."""
-    joined = _join(rows, model)
+    joined = _join(rows, model, keys)
     for i, name in enumerate(NAMES):
         residue = F.col(name) - F.col(f"m{i}")
         for j in range(i):
@@ -177,22 +178,22 @@ def _distances(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def _limit(measured: DataFrame, share: float, name: str) -> DataFrame:
-    bins = measured.groupBy(*GROUP, "bin").agg(F.count("*").alias("rows"))
-    return _quantile(bins, GROUP, share, name)
+    bins = measured.groupBy(*LEVELS, "bin").agg(F.count("*").alias("rows"))
+    return _quantile(bins, LEVELS, share, name)
 
 
-def _factor(moments: DataFrame) -> DataFrame:
+def _factor(moments: DataFrame, keys: list[str] = LEVELS, floors: list[float] = FLOORS) -> DataFrame:
     """The lower triangle L with L L' = covariance, least spreads added."""
     out = moments
     for i in range(5):
         for j in range(i + 1):
-            value = F.col(f"c{i}{j}") + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))
+            value = F.col(f"c{i}{j}") + (F.lit(floors[i] ** 2) if i == j else F.lit(0.0))
             for k in range(j):
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             # Rounding may leave a little less than the least spread.
-            value = F.sqrt(F.greatest(value, F.lit(FLOORS[i] ** 2 / 4))) if i == j else value / F.col(f"l{j}{j}")
+            value = F.sqrt(F.greatest(value, F.lit((floors[i] or FLOORS[i] / 4) ** 2 / 4))) if i == j else value / F.col(f"l{j}{j}")
             out = out.withColumn(f"l{i}{j}", value)
-    return out.select(*GROUP, *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i in range(5) for j in range(i + 1)])
+    return out.select(*keys, *[f"m{i}" for i in range(5)], *[f"l{i}{j}" for i in range(5) for j in range(i + 1)])
 
 
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -202,7 +203,7 @@ def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         measured = _distances(rows, model)
         limit = stage(_limit(measured, SHARE, "most"), "limits")
         nearest = _join(measured, limit).where("bin <= most")
-        moments = nearest.groupBy(*GROUP).agg(
+        moments = nearest.groupBy(*LEVELS).agg(
             *[F.avg(n).alias(f"m{i}") for i, n in enumerate(NAMES)],
             *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i in range(5) for j in range(i + 1)],
         )
@@ -210,21 +211,49 @@ def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return model
 
 
+def at_levels(rows: DataFrame) -> DataFrame:
+    """Every row as one of its language and source, of its language, and of all."""
+    none = F.lit(None).cast("string")
+    groups = F.array(*[
+        F.struct(F.lit(level).alias("level"), lang.alias("lang"), source.alias("source"))
+        for level, (lang, source) in enumerate([(F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none)])
+    ])
+    return rows.select(F.explode(groups).alias("g"), *NAMES).select("g.*", *NAMES)
+
+
+def shrunk(models: DataFrame) -> DataFrame:
+    """Per language and source the centre and factor of the scaled covariance, both drawn
+    towards the language's and all documents' with a weight by the number of rows."""
+    scale = MEDIAN / F.greatest(F.pow(F.lit(2.0), F.col("middle") / 16.0), F.lit(1.0))
+    places = [(i, j) for i in range(5) for j in range(i + 1)]
+    values = [f"m{i}" for i in range(5)] + [f"c{i}{j}" for i, j in places]
+    covariance = [
+        (reduce(Column.__add__, [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j + 1)]) / scale).alias(f"c{i}{j}")
+        for i, j in places
+    ]
+    models = stage(models.select(*LEVELS, "rows", *values[:5], *covariance), "levels")
+    wider = models.where("level = 2").select(F.lit(1).alias("all"), *values)
+    for level, keys in ((1, ["all"]), (0, ["lang"])):
+        own = models.where(F.col("level") == level).withColumn("all", F.lit(1))
+        both = _join(own, wider.select(*keys, *[F.col(v).alias(f"w_{v}") for v in values]), keys)
+        weight = F.least(F.col("rows") / LEAST, F.lit(1.0))
+        wider = both.select(
+            *GROUP, *[F.when(weight < 1, weight * F.col(v) + (1 - weight) * F.col(f"w_{v}")).otherwise(F.col(v)).alias(v) for v in values]
+        )
+    return _factor(wider, GROUP, [0.0] * 5)
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """Base counts of every row of ``docs``, ``base_failed``, the scaled ``distance`` of
-    those that pass in groups large enough, and ``kept``."""
+    those that pass, and ``kept``."""
     found = stage(with_features(base_counts(docs)), "features")
-    rows = found.where(~F.col("base_failed")).select(*GROUP, *NAMES)
+    passing = found.where(~F.col("base_failed"))
+    rows = at_levels(passing)
     model = estimate(rows)
     middle = _limit(_distances(rows, model), 0.5, "middle")
-    sizes = rows.groupBy(*GROUP).agg(F.count("*").alias("rows"))
-    scaled = stage(
-        _join(_join(model, middle), sizes).withColumn(
-            "scale", F.when(F.col("rows") >= LEAST, MEDIAN / F.greatest(F.pow(F.lit(2.0), F.col("middle") / 16.0), F.lit(1.0)))
-        ).drop("middle", "rows"),
-        "scaled",
-    )
-    measured = _distances(found.where(~F.col("base_failed")), scaled).withColumn("distance", F.col("d") * F.col("scale"))
+    sizes = rows.groupBy(*LEVELS).agg(F.count("*").alias("rows"))
+    scaled = stage(shrunk(_join(_join(model, middle), sizes)), "scaled")
+    measured = _distances(passing, scaled, GROUP).withColumn("distance", F.col("d"))
     columns = [c for c in found.columns if c not in NAMES]
     passed = measured.select(*columns, "distance", F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)).alias("kept"))
     failed = found.where("base_failed").select(

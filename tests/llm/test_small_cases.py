@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.llm import (
     bits, chat, components, decontaminate, near_dup, packing, ppm, quality, secret_scan, token_files, tokens,
@@ -396,6 +397,18 @@ def test_outliers_against_numpy(spark):
         assert found[doc_id]["distance"] == pytest.approx(expected, rel=1e-6)
 
 
+def test_small_groups_are_judged_too(spark):
+    docs, n = quality_table(spark, random.Random(15))
+    text = " ".join(f"{'#*$%&|<>' * 6}{k}" for k in range(400))
+    few = [(10_000 + k, prose(random.Random(k), 60)) for k in range(6)] + [(20_000, text)]
+    few = documents(spark, few).select("doc_id", "text", *[F.lit(v).alias(c) for c, v in (("lang", "xx"), ("source", "small"))])
+    rows = docs.select("doc_id", "text", "lang", "source").unionByName(few)
+    found = {r["doc_id"]: r for r in quality.judged(rows).collect()}
+    assert all(r["distance"] is not None for r in found.values() if not r["base_failed"])
+    assert not found[20_000]["base_failed"] and not found[20_000]["kept"]
+    assert all(found[10_000 + k]["kept"] for k in range(6))
+
+
 def test_quality_of_nothing_and_of_odd_rows(spark):
     assert quality.judged(documents(spark, [])).count() == 0
     found = quality.judged(documents(spark, ODD)).collect()
