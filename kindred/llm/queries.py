@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from kindred.llm import (
-    chat, decontaminate, near_dup, packing, ppm, quality, secret_scan, token_files, toxicity, warc,
+    chat, decontaminate, near_dup, neighbours, packing, ppm, quality, runs, secret_scan, token_files, toxicity, warc,
+    whitening,
 )
 
 QUERIES = {
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_lm_scoring": ppm.op8_lm_scoring,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_nearest_neighbours": neighbours.op12_nearest_neighbours,
+    "op13_periodic_runs": runs.op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

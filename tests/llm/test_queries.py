@@ -41,7 +41,7 @@ def by_id(spark, name):
 
 def test_all_queries_are_registered():
     assert set(llm.QUERIES) | {"pipeline"} <= set(queries())
-    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(llm.ORACLE) <= set(oracle_sql()) and corpus_pipeline.ORACLE_SQL is None
     assert len(corpus_pipeline.STAGES) == 5
 
