@@ -26,6 +26,7 @@ from kindred.plans.catalog import (
 from kindred.schemas import FEATURES
 
 CAP = 100
+_VALIDATION = "('0x' || substr(md5(source1_entity_id), 1, 8))::BIGINT % 5 = 0"
 
 RAW = {
     PAGES: r"""
@@ -245,6 +246,42 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
                    AS matched_entity_ids
         FROM rec r LEFT JOIN matched m ON m.source1_entity_id = r.entity_id
         WHERE r.source = 's1' GROUP BY r.entity_id""",
+        # The first split of a boosted tree, from all cuts of all features.
+        "train_row": f"SELECT * FROM feature WHERE NOT ({_VALIDATION})",
+        "base": "SELECT count(*)::DOUBLE AS n, sum(label)::DOUBLE AS positive FROM train_row",
+        "field": f"""
+        SELECT label, unnest([{', '.join(f"{{'place': {i}, 'feature': '{f}', 'v': {f}::DOUBLE}}" for i, f in enumerate(FEATURES))}],
+               recursive := true) FROM train_row""",
+        "counted": "SELECT place, feature, v, count(*) AS n, sum(label) AS p FROM field GROUP BY ALL",
+        "lost": "SELECT place, n, p FROM counted WHERE v IS NULL",
+        "cut": """
+        SELECT place, feature, v + (lead(v) OVER w - v) / 2 AS cut, sum(n) OVER w AS n, sum(p) OVER w AS p
+        FROM counted WHERE v IS NOT NULL WINDOW w AS (PARTITION BY place ORDER BY v)""",
+        "side": """
+        SELECT c.place, feature, cut, false AS lost_left, c.n, c.p FROM cut c LEFT JOIN lost l ON l.place = c.place
+        WHERE cut IS NOT NULL OR l.n > 0
+        UNION ALL
+        SELECT c.place, feature, cut, true, c.n + l.n, c.p + l.p FROM cut c JOIN lost l ON l.place = c.place WHERE cut IS NOT NULL""",
+        "gain_split": """
+        SELECT * EXCLUDE (n, p), n, gl * gl / (hl + 1) + gr * gr / (hr + 1) AS gain, -gl / (hl + 1) AS left_value, -gr / (hr + 1) AS right_value
+        FROM (SELECT s.*, s.n * q - s.p AS gl, s.p - s.n * q AS gr, s.n * q * (1 - q) AS hl, (b.n - s.n) * q * (1 - q) AS hr
+              FROM side s CROSS JOIN (SELECT *, positive / n AS q FROM base) b WHERE s.n >= 50 AND b.n - s.n >= 50)
+        WHERE hl >= 0.001 AND hr >= 0.001""",
+        "stump_split": "SELECT * FROM gain_split ORDER BY round(gain, 6) DESC, place, lost_left, cut LIMIT 1",
+        "stump": f"""
+        SELECT f.source1_entity_id, f.candidate_entity_id, f.label,
+               1 / (1 + exp(-(ln(b.positive / (b.n - b.positive)) + CASE
+                 WHEN coalesce(list_extract([{', '.join(f'f.{f}::DOUBLE' for f in FEATURES)}], s.place + 1) < s.cut,
+                               s.lost_left) THEN left_value ELSE right_value END))) AS score
+        FROM feature f CROSS JOIN base b CROSS JOIN stump_split s""",
+        "stump_sweep": f"""
+        SELECT t.threshold, count(*) FILTER (label = 1) AS tp, count(*) AS predicted,
+               (SELECT sum(label) FROM stump WHERE {_VALIDATION}) AS positives
+        FROM (SELECT unnest({THRESHOLDS}) AS threshold) t JOIN stump ON score >= threshold
+        WHERE {_VALIDATION} GROUP BY 1""",
+        "stump_threshold": f"""
+        SELECT coalesce(arg_max(threshold, (1.25 * tp / (1.25 * tp + predicted - tp + 0.25 * (positives - tp)), -threshold)),
+                        {DEFAULT_THRESHOLD}) AS threshold FROM stump_sweep WHERE tp > 0""",
         # Faulty result file.
         "fault_row": """
         SELECT t.source1_entity_id, matched_entity_ids AS ids, country, name, address
@@ -302,9 +339,6 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
     }
 
 
-_VALIDATION = "('0x' || substr(md5(source1_entity_id), 1, 8))::BIGINT % 5 = 0"
-
-
 def _sql(
     body: str, dataset: str, guard: bool = True, filled: bool = False, cap: int = CAP, only: str = ""
 ) -> str:
@@ -613,8 +647,19 @@ FROM feature""",
         GAPS,
     ),
     "gbt_roundtrip": _sql(
-        """SELECT count(*) AS pairs, count(*) AS equal_scores, true AS threshold_kept, true AS features_kept,
-        0::BIGINT AS accepted_without_score FROM cand""",
+        """SELECT count(*) AS pairs, count(*) AS equal_scores, true AS threshold_kept, true AS forest_kept
+        FROM cand""",
+        GAPS,
+    ),
+    "gbt_first_splits": _sql("SELECT feature, round(max(gain), 6) AS gain FROM gain_split GROUP BY feature", GAPS),
+    "gbt_stump": _sql("SELECT round(score, 9) AS probability, count(*) AS pairs FROM stump GROUP BY 1", GAPS),
+    "file_matcher": _sql(
+        """
+SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids
+FROM rec LEFT JOIN (
+  SELECT source1_entity_id, string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id) AS ids
+  FROM stump JOIN stump_threshold ON score >= threshold GROUP BY source1_entity_id
+) ON entity_id = source1_entity_id WHERE source = 's1'""",
         GAPS,
     ),
 }

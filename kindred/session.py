@@ -34,6 +34,10 @@ def local_session(cores: int | str = "*", memory: str = "16g", partitions: int =
     return builder.getOrCreate()
 
 
+# Folders made for local sessions without a shared one, by application.
+_own_folders: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder the cluster shares among its executors, from ``spark.checkpoint.dir``.
 
@@ -46,9 +50,10 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="kindred-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="kindred-")
+    return _own_folders[application]
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -62,15 +67,18 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df, name: str, partition_by: str | None = None):
+def stage(df, name: str, partition_by: str | None = None, even: bool = False):
     """Write ``df`` to the shared folder and read it back.
 
     The written table cuts the lineage, survives lost executors, and gives the planner
     real sizes for the joins that follow. A filter on ``partition_by`` then reads only
-    the files it needs.
+    the files it needs. With ``even`` rows are first dealt out again, by the sizes that adaptive
+    execution measures: what one task scanned is then written and read by several.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
+    if even:
+        df = df.hint("rebalance")
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)

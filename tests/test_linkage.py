@@ -4,7 +4,6 @@ import math
 import random
 
 import pytest
-from pyspark.ml.linalg import Vectors
 
 from kindred.operators import labels, model, quality
 from kindred.plans import linkage
@@ -47,7 +46,7 @@ def data(spark, tmp_path_factory):
 
 def test_train_predict_and_check(spark, data):
     paths, truth_path, folder = data
-    options = {"rounds": 4, "min_leaf": 5, "depth": 3}
+    options = {"rounds": 4, "min_leaf": 5, "leaves": 6, "learning_rate": 0.5}
     matcher, sweep = linkage.train_from_files(spark, *paths, truth_path, **options)
     assert sweep.count() == 13
 
@@ -79,26 +78,34 @@ def test_training_is_repeatable(spark, data):
     by_pairs = labels.label_pairs(rows.drop("label"), labels.true_pairs(truth))
     assert rows.filter("label = 1").count() > 100
     assert rows.join(by_pairs, ["source1_entity_id", "candidate_entity_id", "label"]).count() == rows.count()
-    fits = [model.fit_model(rows, rounds=2, depth=2, min_leaf=5) for _ in range(2)]
+    fits = [model.fit_model(rows, rounds=2, leaves=4, min_leaf=5) for _ in range(2)]
     scores = [sorted(map(tuple, model.score_pairs(m, rows).collect()), key=str) for m in fits]
     assert scores[0] == scores[1]
 
 
 def test_scores_equal_the_trees(spark, data):
-    """The distributed score against the trees walked one row at a time."""
+    """The score by SQL functions against the trees walked one row at a time."""
     paths, truth_path, _ = data
     s1, others = linkage.load_sources(spark, *paths)
     truth = files.read_truth(spark, truth_path)
     rows = stage(linkage.labelled_features(s1, others, truth), "features")
-    fitted = model.fit_model(rows, rounds=5, depth=3, min_leaf=5)
-    boosted = fitted.stages[-1]
-    scored = model.score_pairs(fitted, rows).collect()
-    assert len({r.probability for r in scored}) > 3
-    for r in scored[:: max(1, len(scored) // 40)]:
-        vector = Vectors.dense([model.MISSING if r[f] is None else float(r[f]) for f in FEATURES])
-        trees = zip(boosted.treeWeights, boosted.trees)
-        margin = sum(weight * tree.predict(vector) for weight, tree in trees)
-        assert r.probability == pytest.approx(1 / (1 + math.exp(-2 * margin)))
+    forest = model.fit_model(rows, rounds=5, leaves=6, min_leaf=5)
+
+    def walked(row):
+        margin = forest.base
+        for nodes in forest.trees:
+            node = nodes[0]
+            while node.feature >= 0:
+                value, cuts = row[FEATURES[node.feature]], forest.edges[node.feature]
+                low = node.missing_left if value is None else sum(float(value) >= c for c in cuts) <= node.bin
+                node = nodes[node.left if low else node.right]
+            margin += node.value
+        return 1 / (1 + math.exp(-margin))
+
+    scored = model.score_pairs(forest, rows).collect()
+    assert len({r.probability for r in scored}) > 1
+    for r in scored:
+        assert r.probability == pytest.approx(walked(r))
 
 
 def test_link_by_rule(spark, data):
