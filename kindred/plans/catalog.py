@@ -42,8 +42,7 @@ def query(dataset: str | None = None, name: str | None = None, once: bool = Fals
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             if dataset is None:
                 return function(spark, sf_dir)
-            found = sources(spark, sf_dir, dataset, **options)
-            return function(found if once else found.staged())
+            return function(sources(spark, sf_dir, dataset, staged=not once, **options))
 
         QUERIES[name or function.__name__] = run
         return function
@@ -563,7 +562,7 @@ def _findings(inputs: Sources) -> DataFrame:
 
 def _rule_query(name: str, rule: str) -> None:
     def run(spark, sf_dir):
-        inputs = sources(spark, sf_dir, DOCUMENTS).staged()
+        inputs = sources(spark, sf_dir, DOCUMENTS, staged=True)
         rows = quality.parse_lines(_faulty_lines(inputs))
         if rule in quality.ROW_RULES:
             found = quality.row_findings(rows, inputs.s1)
@@ -681,7 +680,7 @@ def _written_sources(inputs: Sources) -> list[str]:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> Sources:
-    return DATASETS[DOCUMENTS](spark, sf_dir).staged()
+    return DATASETS[DOCUMENTS](spark, sf_dir).even().staged()
 
 
 @query()

@@ -67,18 +67,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df, name: str, partition_by: str | None = None, even: bool = False):
+def stage(df, name: str, partition_by: str | None = None):
     """Write ``df`` to the shared folder and read it back.
 
     The written table cuts the lineage, survives lost executors, and gives the planner
     real sizes for the joins that follow. A filter on ``partition_by`` then reads only
-    the files it needs. With ``even`` rows are first dealt out again, by the sizes that adaptive
-    execution measures: what one task scanned is then written and read by several.
+    the files it needs.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    if even:
-        df = df.hint("rebalance")
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)

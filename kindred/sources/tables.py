@@ -44,6 +44,10 @@ class Sources:
     def normalized(self, **options) -> Sources:
         return Sources(normalize_records(self.records, **options))
 
+    def even(self) -> Sources:
+        """The same, dealt out by measured sizes: few scan tasks may have read all of it."""
+        return Sources(self.records.hint("rebalance"))
+
     def staged(self) -> Sources:
         """The same, written once: for uses that read the records several times."""
         return Sources(stage(self.records, "records"))
@@ -112,9 +116,13 @@ def line_records(spark: SparkSession, sf_dir: str) -> Sources:
 DATASETS = {"pages": page_records, "documents": line_records, "gaps": gap_records}
 
 
-def sources(spark: SparkSession, sf_dir: str, dataset: str, **options) -> Sources:
-    """Normalised sources of one dataset."""
-    return DATASETS[dataset](spark, sf_dir).normalized(**options)
+def sources(spark: SparkSession, sf_dir: str, dataset: str, staged: bool = False, **options) -> Sources:
+    """Normalised sources of one dataset. If they are to be staged, they are dealt out before
+    they are normalised, so that this work and the files are spread, however few tasks scan."""
+    raw = DATASETS[dataset](spark, sf_dir)
+    if staged:
+        return raw.even().normalized(**options).staged()
+    return raw.normalized(**options)
 
 
 def _of(fields: list[str]) -> Column:

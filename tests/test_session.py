@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from kindred import session
+from kindred.sources.tables import sources
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -48,6 +49,9 @@ def test_the_shared_folder_is_the_clusters(spark, conf):
         session.work_root(Session(**{"spark.master": "spark://host:7077"}))
 
 
-def test_even_staging_keeps_all_rows(spark):
-    rows = spark.range(1000, numPartitions=1)
-    assert sorted(r.id for r in session.stage(rows, "even", even=True).collect()) == list(range(1000))
+
+def test_staged_records_are_spread_over_files(spark):
+    """The smallest table is one row group, which one task scans."""
+    records = sources(spark, "/root/testdata/sf0.1", "documents", staged=True).records
+    assert len(records.inputFiles()) > 1
+    assert records.count() == sources(spark, "/root/testdata/sf0.1", "documents").records.count()
