@@ -46,12 +46,26 @@ def label_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
+def true_pairs_by_key(s1: DataFrame, others: DataFrame, key: Column) -> DataFrame:
+    """``(source1_entity_id, entity_id)`` of records with equal keys, without lists: both sides
+    of the join come straight from their exchange, so that adaptive execution can split a key
+    that very many records share."""
+    left = s1.select(F.col("entity_id").alias("source1_entity_id"), key.alias("key"))
+    return left.join(others.select("entity_id", key.alias("key")), "key").select("source1_entity_id", "entity_id")
+
+
 def with_truth(groups: DataFrame, truth: DataFrame) -> DataFrame:
-    """``groups`` with the ids in the comma lists of ``truth`` as ``true_ids``, by which
-    ``pairs.group_features`` labels: no pair is moved for its label."""
+    """``groups`` with those of their ids that are in the comma lists of ``truth`` as
+    ``true_ids``, by which ``pairs.group_features`` labels: no pair is moved for its label.
+
+    Both lists of an entity meet once, by hash; ids that are no candidates go at once.
+    """
     ids = F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x))
-    listed = truth.groupBy("source1_entity_id").agg(F.flatten(F.collect_set(ids)).alias("true_ids"))
-    return groups.join(listed, "source1_entity_id", "left")
+    listed = truth.groupBy("source1_entity_id").agg(F.flatten(F.collect_set(ids)).alias("listed"))
+    none = F.array().cast("array<string>")
+    candidates = F.concat(F.coalesce("s2_ids", none), F.coalesce("s3_ids", none))
+    known = F.array_intersect(candidates, F.coalesce("listed", none))
+    return groups.join(listed, "source1_entity_id", "left").withColumn("true_ids", known).drop("listed")
 
 
 def label_by_key(groups: DataFrame, s1: DataFrame, others: DataFrame, key: Column) -> DataFrame:

@@ -56,12 +56,19 @@ def group_features(
     """The same from candidate groups. Parts of the S1 records are joined before the
     groups are exploded, so the pairs are moved once, to meet their candidate records.
     With ``key`` there is also a ``label``, 1 where both records have the same key; groups
-    with ``true_ids`` are labelled by these."""
-    pairs = explode_groups(groups.join(_s1_side(s1, key), "source1_entity_id"))
+    with ``true_ids`` are labelled by these: the true and the other ids of a group are two
+    groups, so that no list is searched per pair."""
     if "true_ids" in groups.columns:
-        known = F.coalesce(F.array_contains("true_ids", F.col("candidate_entity_id")), F.lit(False))
-        pairs = pairs.withColumn("label", known.cast("int")).drop("true_ids")
-    return _compare(pairs, others, guard_empty, key)
+        lists = ("s2_ids", "s3_ids")
+        sides = F.array(
+            *[
+                F.struct(*[pick(i, "true_ids").alias(i) for i in lists], F.lit(label).alias("label"))
+                for label, pick in ((1, F.array_intersect), (0, F.array_except))
+            ]
+        )
+        kept = [c for c in groups.columns if c not in (*lists, "true_ids")]
+        groups = groups.select(*kept, F.explode(sides).alias("side")).select(*kept, "side.*")
+    return _compare(explode_groups(groups.join(_s1_side(s1, key), "source1_entity_id")), others, guard_empty, key)
 
 
 # Weights of the stand-in score, in the order they are added.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.schemas import CANDIDATE_HEADER, MATCH_HEADER
 from kindred.session import stage
-from kindred.sources.files import body_of, headers_of, read_file_lines, read_ids
+from kindred.sources.files import body_of, headers_of, read_file_lines, read_ids, with_line_numbers
 
 EXAMPLES = 5
 
@@ -52,12 +52,15 @@ def parsed(lines: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """``(source1_entity_id, ids)`` of each line with a tab; blank lists have no ids."""
-    rest = F.expr("substring(value, instr(value, '\\t') + 1)")
-    ids = F.when(rest.rlike(r"\S"), F.split(rest, ",")).otherwise(
-        F.array().cast("array<string>")
-    )
-    return lines.filter(F.col("value").contains("\t")).select(
-        F.substring_index("value", "\t", 1).alias("source1_entity_id"), ids.alias("ids")
+    return parsed(lines).filter("line IS NULL").select("source1_entity_id", "ids")
+
+
+def located_malformed(lines: DataFrame) -> DataFrame:
+    """``(file, line_no, place, line)`` of the malformed lines among ``read_file_lines``."""
+    broken = lines.filter(~F.col("value").contains("\t") & F.col("value").rlike(r"\S"))
+    return with_line_numbers(broken, lines).select(
+        F.element_at(F.split("file", "/"), -1).alias("file"), "line_no", "place",
+        F.regexp_replace("value", r"\s+$", "").alias("line"),
     )
 
 
@@ -196,13 +199,15 @@ def findings(
 
 
 def parsed_findings(
-    found: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None
+    found: DataFrame, required: DataFrame, valid_ids: DataFrame | None = None, located: DataFrame | None = None
 ) -> DataFrame:
-    """The same from staged ``parsed`` lines."""
+    """The same from staged ``parsed`` lines. Malformed ones are named by their text, or, if
+    ``located`` in files, by file and line as well."""
     rows = found.filter("line IS NULL").select("source1_entity_id", "ids")
-    malformed = found.filter("line IS NOT NULL").select(
-        F.lit("malformed_row").alias("rule"), F.col("line").alias("offender")
-    )
+    offender, broken = F.col("line"), found.filter("line IS NOT NULL")
+    if located is not None:
+        offender, broken = F.concat("file", F.lit(" line "), "line_no", F.lit(": "), "line"), located
+    malformed = broken.select(F.lit("malformed_row").alias("rule"), offender.alias("offender"))
     return row_findings(rows, required).unionByName(id_findings(rows, valid_ids)).unionByName(malformed)
 
 
@@ -254,7 +259,8 @@ def check_files(
         first = trouble.first()
         if first is None:
             lines[file] = stage(parsed(body_of(own, headers_of(own))), "parsed")
-            trouble = parsed_findings(lines[file], required, valid_ids)
+            located = located_malformed(own).filter("line_no > 1")
+            trouble = parsed_findings(lines[file], required, valid_ids, located)
         elif file == "candidate" and first.rule == "file_missing":
             trouble = trouble.withColumn("rule", F.lit("candidates_missing"))
         found.append(trouble.withColumn("file", F.lit(file)))

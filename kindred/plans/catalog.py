@@ -59,7 +59,7 @@ def _groups(inputs: Sources, **options) -> DataFrame:
 
 
 def _truth(inputs: Sources, dataset: str) -> DataFrame:
-    return labels.true_pairs(truth_lists(inputs, dataset))
+    return labels.true_pairs_by_key(inputs.s1, inputs.others, copy_key(dataset))
 
 
 def _counts(inputs: Sources, dataset: str) -> DataFrame:
@@ -587,6 +587,14 @@ def dq_malformed(inputs):
     return quality.malformed_lines(_faulty_lines(inputs))
 
 
+@query(DOCUMENTS)
+def dq_malformed_lines(inputs):
+    """Malformed lines of a sorted listing in files, with their places in it."""
+    path = work_path(_spark(inputs), "listing")
+    _faulty_lines(inputs).repartitionByRange("value").sortWithinPartitions("value").write.text(path)
+    return quality.located_malformed(files.read_file_lines(_spark(inputs), path)).select("place", "line")
+
+
 @query(DOCUMENTS)
 def dq_match_subset(inputs):
     rows, candidate_rows = map(

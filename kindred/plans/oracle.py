@@ -601,6 +601,15 @@ FROM per_s1""",
     "dq_wrong_prefix": _offenders("wrong_prefix"),
     "dq_unknown_ids": _offenders("unknown_id"),
     "dq_malformed": _sql("SELECT offender AS line FROM finding WHERE rule = 'malformed_row'", DOCUMENTS),
+    "dq_malformed_lines": _sql(
+        """
+SELECT place, value AS line FROM (
+  SELECT value, row_number() OVER (ORDER BY value) AS place FROM (
+    SELECT source1_entity_id || chr(9) || ids AS value FROM file_row
+    UNION ALL SELECT 'note ' || entity_id FROM rec WHERE source = 's3' AND country = 'fr'))
+WHERE NOT contains(value, chr(9))""",
+        DOCUMENTS,
+    ),
     "dq_match_subset": _offenders("not_a_candidate"),
     "dq_row_stats": _sql(
         """SELECT count(*) AS n_rows, count(*) FILTER (ids = '') AS empty_rows,

@@ -137,14 +137,25 @@ def copy_key(dataset: str) -> Column:
     return _of(["country", "name"])
 
 
+PIECES = 32
+
+
 def truth_lists(inputs: Sources, dataset: str) -> DataFrame:
     """Ground truth in its file form: every S1 entity with all its copies in S2 and S3, in
-    order, as a comma list that may be empty. Labels do not need the lists: a pair is true
-    if its keys are equal."""
+    order, as a comma list that may be empty. Labels and true pairs do not need the lists: a
+    pair is true if its keys are equal.
+
+    The ids of a key are gathered in pieces by hash, so that no row holds all copies of a key
+    before the list of one entity does, and the join on the key meets short rows.
+    """
     key = copy_key(dataset)
-    copies = inputs.others.groupBy(key.alias("copy_key")).agg(F.sort_array(F.collect_list("entity_id")).alias("ids"))
+    piece = F.pmod(F.xxhash64("entity_id"), F.lit(PIECES))
+    copies = inputs.others.groupBy(key.alias("copy_key"), piece.alias("piece")).agg(
+        F.sort_array(F.collect_list("entity_id")).alias("ids")
+    )
     return (
         inputs.s1.select(F.col("entity_id").alias("source1_entity_id"), key.alias("copy_key"))
-        .join(copies, "copy_key", "left")
-        .select("source1_entity_id", F.coalesce(F.array_join("ids", ","), F.lit("")).alias("matched_entity_ids"))
+        .join(copies.select("copy_key", "ids"), "copy_key", "left")
+        .groupBy("source1_entity_id").agg(F.flatten(F.collect_list("ids")).alias("ids"))
+        .select("source1_entity_id", F.array_join(F.sort_array("ids"), ",").alias("matched_entity_ids"))
     )

@@ -1,11 +1,14 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.operators import paging, quality
+from kindred.operators import blocks, labels, paging, pairs, quality
 from kindred.schemas import MATCH_HEADER
-from kindred.sources import files
+from kindred.sources import files, tables
 
 from conftest import rows_of
+from test_plans import plan_of
 
 
 @pytest.fixture
@@ -56,6 +59,24 @@ def test_headers_of_split_files(spark, tmp_path, conf):
     assert files.read_lines(spark, str(tmp_path)).count() == 400
 
 
+def test_line_numbers_over_many_splits(spark, tmp_path, conf):
+    """Against a plain reader, where a file is read in many pieces and a task reads several files."""
+    conf("spark.sql.files.maxPartitionBytes", "64")
+    rng, expected, place = random.Random(6), [], 0
+    for name in ("a.tsv", "b.tsv", "c.tsv"):
+        lines = ["x" * rng.randrange(0, 90) + ("\ty" if rng.random() < 0.7 else "") for _ in range(150)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n" * (name != "b.tsv"))
+        for number, line in enumerate(lines, 1):
+            place += 1
+            if "\t" not in line and line:
+                expected.append((name, number, place, line))
+    for size in ("64", "1m"):
+        conf("spark.sql.files.maxPartitionBytes", size)
+        lines = files.read_file_lines(spark, str(tmp_path))
+        assert (lines.rdd.getNumPartitions() > 20) == (size == "64")
+        assert rows_of(quality.located_malformed(lines)) == sorted(expected)
+
+
 GOOD = "source1_entity_id\tmatched_entity_ids\n"
 
 
@@ -94,7 +115,7 @@ def test_every_fault_is_found(spark, required, write):
         "unknown_id": ("error", 1, "S2-8"),
         "missing_required": ("error", 1, "S1-3"),
         "extra_row": ("error", 1, "S1-9"),
-        "malformed_row": ("error", 1, "no tab here"),
+        "malformed_row": ("error", 1, "m.tsv line 5: no tab here"),
         "not_a_candidate": ("warning", 1, "S1-2"),
     }
 
@@ -194,3 +215,37 @@ def test_one_record_of_many_words(spark, records):
     others = records([("S2-1", "us", "other", "word7 lane", "s2"), ("S3-1", "us", "more", "word7 road", "s3")])
     found = blocks.candidates(s1, others).collect()
     assert [(r[0], r[1], r[2]) for r in found] == [("S1-1", ["S2-1"], ["S3-1"])]
+
+
+def test_a_key_held_by_a_third_of_all_rows(spark, conf):
+    """True pairs and labels of a hot group: no row gathers the group, and the join can be split."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    records = spark.range(3000).select(
+        F.concat(F.when(F.col("id") % 30 == 0, "S1-").otherwise("S2-"), "id").alias("entity_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 500)).alias("name"),
+        F.lit("us").alias("country"), F.lit("a").alias("address"),
+        F.when(F.col("id") % 30 == 0, "s1").otherwise("s2").alias("source"),
+    )
+    inputs = tables.Sources(records)
+    key = tables.copy_key("pages")
+    found = labels.true_pairs_by_key(inputs.s1, inputs.others, key)
+    plan = plan_of(found)
+    assert "collect" not in plan and plan.count("Exchange hashpartitioning") == 2
+    names = {r.entity_id: r.name for r in records.collect()}
+    expected = sorted((a, b) for a in names for b in names if a[:2] == "S1" and b[:2] == "S2" and names[a] == names[b])
+    assert rows_of(found) == expected and len(expected) == 100 * 900
+    lists = {r[0]: r[1] for r in tables.truth_lists(inputs, "pages").collect()}
+    assert len(lists) == 100 and all(lists[a] == ",".join(sorted(b for x, b in expected if x == a)) for a in lists)
+
+
+def test_labels_by_lists_equal_labels_by_pairs(spark, records):
+    s1 = records([("S1-1", "us", "acme foo", "1 main"), ("S1-2", "us", "acme bar", "2 main")])
+    others = records([(f"S{2 + i % 2}-{i}", "us", "acme " + ("foo" if i % 3 else "bar"), f"{i % 3} main", f"s{2 + i % 2}") for i in range(30)])
+    groups = blocks.candidates(s1, others)
+    truth = spark.createDataFrame(
+        [("S1-1", "S2-0, S3-1,S2-4,S9-9"), ("S1-1", "S3-5"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string"
+    )
+    listed = pairs.group_features(labels.with_truth(groups, truth), s1, others)
+    by_pairs = labels.label_pairs(listed.drop("label"), labels.true_pairs(truth)).select(*listed.columns)
+    assert rows_of(listed) == rows_of(by_pairs) and listed.filter("label = 1").count() > 1
+    assert listed.count() == blocks.explode_groups(groups).count()
