@@ -1,19 +1,22 @@
 """WARC archives: a deterministic sharded writer and its reader.
 
-Pages are range-sorted by id. A task writes its range as record-wise gzipped WARC/1.1 files
-that are rolled by compressed size, each under a temporary name until it is complete. The
-manifest, one row per file, is a table in the shared folder; only files it lists count.
-Headers and digests are made from the payload, ids and dates from the input, so that a
-repeated task writes the same bytes.
+Records are in the order of page ids and digests. A first pass compresses every record and keeps
+its size only; sums of sizes along the order say where files of ``file_bytes`` begin, whatever the
+partitions were. A second pass sends every page to its file, compresses it and appends it: a
+file is written whole by one task, as record-wise gzipped WARC/1.1 under a temporary name until it
+is complete. The manifest, one row per file, is written last into the same folder, also under a
+temporary name first; only files that it lists count. Headers and digests are made from the payload,
+ids and dates from the input, so any run over the same pages writes the same bytes.
 
 Of pages with equal payloads of ``least_bytes`` or more, the one with the smallest id holds
 the payload; the others are revisit records that refer to it. Equal payloads are counted
-per digest before the shuffle, and pages are moved once, by id.
+per digest before the shuffle; payloads are moved once, to their file.
 
+The first key of every file reaches the driver: choose ``file_bytes`` by the size of the input.
 A null html is an empty payload, a null url gives no target. Rows without an id are sorted
 first and refer to the page with the smallest id like others; where no page with that
-payload has an id, they refer to none. Of repeated rows the first in order is the response.
-An empty table gives no file and no row.
+payload has an id, they refer to none. Of repeated rows the first in order is the response, and
+rows with equal ids and payloads lie in one file. An empty table gives no file and no row.
 """
 
 from __future__ import annotations
@@ -21,24 +24,27 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import json
 import re
 import urllib.parse
 import uuid
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import common
 from kindred.session import stage, work_path
 
-FILE_BYTES = 64 << 20  # of compressed records, after which a file is closed
+FILE_BYTES = 16 << 20  # of compressed records, after which a file begins
 DATE = "1970-01-01T00:00:00Z"  # the tables hold no time of capture
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-MANIFEST = "part long, file long, path string, records long, file_bytes long"
+MANIFEST = "file long, path string, records long, file_bytes long"
+LISTED = "manifest.jsonl"
 PAGES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -113,9 +119,9 @@ def _payload() -> F.Column:
     return F.coalesce(F.col("html").cast("string"), F.lit(""))
 
 
-def write(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write every page as a record and return the manifest."""
-    folder = folder or work_path(pages.sparkSession, "warc")
+def _flagged(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """Pages with the digest of their payload, ``first``, the id of the page that holds it, and
+    whether other pages do, too."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), _payload().alias("html")
     )
@@ -131,40 +137,130 @@ def write(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, fil
         .select(F.col("page_id").alias("id"), F.col("sum").alias("own"), "first").distinct(),
         "holders",
     )
-    pages_of = rows.withColumn("sum", F.sha1("html"))
-    sorted_rows = (
-        pages_of.join(holders, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sum") == F.col("own")), "left")
+    return (
+        rows.withColumn("sum", F.sha1("html"))
+        .join(holders, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sum") == F.col("own")), "left")
         .select("page_id", "url", "html", "sum", "first", F.col("own").isNotNull().alias("shared"))
-        .repartitionByRange("page_id", "sum").sortWithinPartitions("page_id", "sum", "url")
     )
-    schema = pa.schema(
-        [("part", pa.int64()), ("file", pa.int64()), ("path", pa.string()), ("records", pa.int64()), ("file_bytes", pa.int64())]
+
+
+def _sizes(flagged: DataFrame) -> DataFrame:
+    """The compressed bytes of the records of every id and digest. Repeated rows count as their
+    first, whichever that will be."""
+    schema = pa.schema([("page_id", pa.int64()), ("sum", pa.string()), ("size", pa.int64())])
+
+    def run(batches):
+        for batch in common.slices(batches, "html"):
+            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sum", "first", "shared")]
+            sizes = []
+            for page_id, url, html, _, first, shared in zip(*columns):
+                revisit = bool(shared and page_id != first)
+                sizes.append(len(gzipped(record(page_id, url, html.encode(), first if revisit else None, revisit))))
+            yield common.batch_of(schema, {"page_id": columns[0], "sum": columns[3], "size": sizes})
+
+    sizes = flagged.mapInArrow(run, "page_id long, sum string, size long")
+    return sizes.groupBy("page_id", "sum").agg(F.sum("size").alias("size"))
+
+
+def _file_starts(sizes: DataFrame, file_bytes: int) -> list[tuple]:
+    """The first id and digest of every file: where sums of sizes along the order pass a multiple
+    of ``file_bytes``. The sums start anew in each range partition and are shifted by the totals of
+    those before it, of which there is one for each task."""
+
+    def run(batches):
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            size = batch.column("size").to_numpy()
+            sums = np.cumsum(size) - size + before
+            before += int(size.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(size), part)), *batch.columns, pa.array(sums)],
+                names=["part", "page_id", "sum", "size", "before"],
+            )
+
+    order = ["page_id", "sum"]
+    placed = stage(
+        sizes.repartitionByRange(*order).sortWithinPartitions(*order)
+        .mapInArrow(run, "part long, page_id long, sum string, size long, before long"),
+        "record-sizes",
     )
+    totals = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.sum("size").alias("n")).collect()}
+    if not totals:
+        return []
+    starts, total = {}, 0
+    for part in sorted(totals):
+        starts[part], total = total, total + totals[part]
+    shift = F.create_map(*[F.lit(x) for item in starts.items() for x in item])[F.col("part")]
+    number = F.floor((F.col("before") + shift) / F.lit(file_bytes))
+    firsts = placed.groupBy(number.alias("file")).agg(F.min(F.struct(*order)).alias("key")).orderBy("file").collect()
+    return [tuple(r["key"]) for r in firsts]
+
+
+def _file_of(rows: DataFrame, starts: list[tuple]) -> DataFrame:
+    """``rows`` with the number of their file, by a binary search of the starts."""
+    spark = rows.sparkSession
+    held = spark.createDataFrame([(starts,)], "starts array<struct<page_id:long,sum:string>>")
+    steps = max(1, len(starts)).bit_length()
+    key = F.struct("page_id", "sum")
+
+    def step(low, power):
+        middle = low + power
+        return F.when((middle < len(starts)) & (key >= F.get("_starts", middle)), middle).otherwise(low)
+
+    powers = F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)])
+    with_starts = rows.select("*", held.select("starts").scalar().alias("_starts"))
+    return with_starts.withColumn("file", F.aggregate(powers, F.lit(0), step)).drop("_starts")
+
+
+def write(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> str:
+    """Write every page as a record and return the folder, which the manifest completes."""
+    spark = pages.sparkSession
+    folder = folder or work_path(spark, "warc")
+    flagged = _flagged(pages, least_bytes)
+    starts = _file_starts(_sizes(flagged), file_bytes)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _file_of(flagged, starts).repartition(max(1, min(parts, 4 * len(starts))), "file")
+    sorted_rows = dealt.sortWithinPartitions("file", "page_id", "sum", "url")
+    schema = pa.schema([("file", pa.int64()), ("path", pa.string()), ("records", pa.int64()), ("file_bytes", pa.int64())])
 
     def run(batches):
-        part, number, shard, last = TaskContext.get().partitionId(), 0, None, None
+        shard, number, last = None, None, None
 
         def done():
             shard.close()
             return pa.RecordBatch.from_pylist(
-                [dict(part=part, file=number, path=shard.uri, records=shard.records, file_bytes=shard.size)], schema
+                [dict(file=number, path=shard.uri, records=shard.records, file_bytes=shard.size)], schema
             )
 
         for batch in common.slices(batches, "html"):
-            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sum", "first", "shared")]
-            for page_id, url, html, own, first, shared in zip(*columns):
-                revisit = shared and (page_id != first or last == (page_id, own))
+            columns = [batch.column(c).to_pylist() for c in ("file", "page_id", "url", "html", "sum", "first", "shared")]
+            for file, page_id, url, html, own, first, shared in zip(*columns):
+                if file != number:
+                    if shard is not None:
+                        yield done()
+                    shard, number = Shard(f"{folder}/part-{file:06d}.warc.gz"), file
+                revisit = bool(shared and (page_id != first or last == (page_id, own)))
                 last = (page_id, own)
-                if shard is None:
-                    shard = Shard(f"{folder}/part-{part:06d}-{number:05d}.warc.gz")
                 shard.add(record(page_id, url, html.encode(), first if revisit else None, revisit))
-                if shard.size >= file_bytes:
-                    yield done()
-                    shard, number = None, number + 1
         if shard is not None:
             yield done()
 
-    return stage(sorted_rows.mapInArrow(run, MANIFEST), "warc-manifest")
+    listed = stage(sorted_rows.mapInArrow(run, MANIFEST), "warc-files")
+    _write_manifest(listed, folder)
+    return folder
+
+
+def _write_manifest(listed: DataFrame, folder: str) -> None:
+    """One line per file, in order; the name is given last."""
+    uri = f"{folder}/{LISTED}"
+    temporary = f"{uri}.{uuid.uuid4().hex}.tmp"
+    files, path = common.shared_file(temporary)
+    files.create_dir(path.rpartition("/")[0], recursive=True)
+    with files.open_output_stream(path) as out:
+        for r in listed.orderBy("file").toLocalIterator():
+            line = dict(file=r["file"], path=r["path"].rpartition("/")[2], records=r["records"], file_bytes=r["file_bytes"])
+            out.write(json.dumps(line).encode() + b"\n")
+    common.commit_file(uri, temporary)
 
 
 def _members(stream, chunk: int = 1 << 20):
@@ -204,9 +300,15 @@ def parse(data: bytes) -> dict:
     }
 
 
-def read(manifest: DataFrame) -> DataFrame:
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that count, with their paths."""
+    rows = spark.read.schema(MANIFEST).json(f"{folder}/{LISTED}")
+    return rows.withColumn("path", F.concat(F.lit(f"{folder}/"), "path"))
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the archives that the manifest lists."""
-    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = pa.schema(
         [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
          ("record_type", pa.string()), ("refers_to", pa.int64())]
@@ -225,11 +327,11 @@ def read(manifest: DataFrame) -> DataFrame:
                             rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return manifest.select("path").repartition(parts, "path").mapInArrow(run, PAGES)
+    return manifest(spark, folder).select("path").repartition(parts, "path").mapInArrow(run, PAGES)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
-    return read(write(common.table(spark, sf_dir, "pages")))
+    return read(spark, write(common.table(spark, sf_dir, "pages")))
 
 
 # SHA-1 in base 32: five hexadecimal digits make four characters.

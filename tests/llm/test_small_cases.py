@@ -4,11 +4,13 @@ columns with clashing names; and operators against brute force on small inputs."
 import base64
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
 import string
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -426,9 +428,9 @@ def test_warc_round_trip(spark):
     rng = random.Random(7)
     rows = [(k, f"http://a/{k}\r\nX: y é", rng.choice(["", "<p>same</p>", "é" * 50, prose(rng, 200)])) for k in range(60)]
     rows += [(3, None, "<p>same</p>"), (3, None, "<p>same</p>"), (None, "u", "only null"), (None, "u", "only null"), (200, "v", None)]
-    manifest = warc.write(pages(spark, rows), file_bytes=2000)
-    assert manifest.count() > 4
-    found = warc.read(manifest).collect()
+    folder = warc.write(pages(spark, rows), file_bytes=2000)
+    assert warc.manifest(spark, folder).count() > 4
+    found = warc.read(spark, folder).collect()
     assert len(found) == len(rows)
     expected = []
     for page_id, _, html in rows:
@@ -442,15 +444,40 @@ def test_warc_round_trip(spark):
         responses = [r for r in own if r["record_type"] == "response"]
         assert len(responses) == 1 and responses[0]["page_id"] == firsts[digest] and responses[0]["refers_to"] is None
         assert all(r["refers_to"] == firsts[digest] for r in own if r["record_type"] == "revisit")
-    again = warc.write(pages(spark, rows), file_bytes=2000)
-    same = ["part", "file", "records", "file_bytes"]
-    assert sorted(manifest.select(same).collect()) == sorted(again.select(same).collect())
-    assert warc.read(warc.write(pages(spark, []))).count() == 0
+    assert warc.read(spark, warc.write(pages(spark, []))).count() == 0
+
+
+def archives(folder):
+    """The names and bytes of all files in a local folder."""
+    path = Path(folder.removeprefix("file://").removeprefix("file:"))
+    return {f.name: f.read_bytes() for f in path.iterdir() if not f.name.startswith(".")}
+
+
+def test_warc_bytes_do_not_depend_on_the_run_or_the_partitions(spark, conf):
+    """Two runs in one session, and other partitions, on a whole table."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    first = archives(warc.write(table, file_bytes=40_000))
+    assert len(first) > 6 and warc.LISTED in first
+    assert archives(warc.write(table, file_bytes=40_000)) == first
+    conf("spark.sql.shuffle.partitions", "13")
+    mixed = table.union(table.limit(0)).repartition(7).sortWithinPartitions(F.desc("url"))
+    assert archives(warc.write(mixed, file_bytes=40_000)) == first
+    sizes = [json.loads(x)["file_bytes"] for x in first[warc.LISTED].splitlines()]
+    assert max(sizes) < 80_000 and sum(sizes) == sum(len(v) for k, v in first.items() if k != warc.LISTED)
+
+
+def test_warc_files_without_a_manifest_do_not_count(spark):
+    table = pages(spark, [(k, "u", f"page {k}") for k in range(30)])
+    folder = warc.write(table, file_bytes=500)
+    shard = warc.Shard(f"{folder}/part-999999.warc.gz")  # left over from an attempt that failed
+    shard.add(warc.record(999, "u", b"left over", None, False))
+    shard.close()
+    assert sorted(r.page_id for r in warc.read(spark, folder).collect()) == list(range(30))
 
 
 def test_small_payloads_are_all_responses(spark):
     rows = [(1, "a", "xx"), (2, "a", "xx"), (3, "a", "y" * 50), (4, "a", "y" * 50)]
-    found = {r["page_id"]: r["record_type"] for r in warc.read(warc.write(pages(spark, rows), least_bytes=10)).collect()}
+    found = {r["page_id"]: r["record_type"] for r in warc.read(spark, warc.write(pages(spark, rows), least_bytes=10)).collect()}
     assert found == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
