@@ -8,10 +8,8 @@ whose vowel signs the basic one turns into spaces.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from kindred.functions.vocabulary import ADDRESS_WORDS, LEGAL_WORDS, NAME_WORDS
 
@@ -20,7 +18,7 @@ RICH_NOISE = r"[^\p{L}\p{M}\p{N}]+"
 
 # Characters NFKC leaves alone whatever surrounds them: ASCII, Latin letters with
 # diacritics, Cyrillic, kana, CJK ideographs and Hangul syllables. Any other character
-# (marks, full-width forms, ligatures, jamo) sends its text through the UDF.
+# (marks, full-width forms, ligatures, jamo) sends its text through the composition.
 NFKC_STABLE_RANGES = [
     (0x00, 0x7F),
     (0xC0, 0x131),
@@ -36,15 +34,11 @@ NFKC_STABLE_RANGES = [
 NFKC_UNSTABLE = "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in NFKC_STABLE_RANGES) + "]"
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKC")
-
-
 def nfkc(text: Column) -> Column:
-    """NFKC form. Only texts NFKC could change are sent to Python; for all others the
-    UDF sees NULL, so the Arrow batches stay small and the table is read once."""
-    return F.coalesce(_nfkc(F.when(text.rlike(NFKC_UNSTABLE), text)), text)
+    """NFKC form, by the Unicode library that Spark ships for its collations, where the rows
+    are. Only texts that NFKC could change are handed to it."""
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    return F.when(text.rlike(NFKC_UNSTABLE), composed).otherwise(text)
 
 
 def basic_text(text: Column) -> Column:

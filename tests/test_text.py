@@ -23,7 +23,7 @@ def test_rich_text_folds_and_keeps_marks(spark):
 
 
 def test_stable_ranges_are_stable():
-    """No character the UDF is spared for may change under NFKC, alone or after another."""
+    """No character that is not composed may change under NFKC, alone or after another."""
     for low, high in NFKC_STABLE_RANGES:
         for code in range(low, high + 1):
             char = chr(code)
@@ -33,6 +33,22 @@ def test_stable_ranges_are_stable():
                 assert unicodedata.normalize("NFKC", before + char) == before + char
 
 
+def test_nfkc_of_every_character(spark):
+    """All assigned characters, alone, after a base letter and with a mark, against Python's tables."""
+    chars = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    rows = [form.format(c) for form in ("{}", "a{}", "{}\u0301", "\u1100{}\u11a8") for c in chars]
+    frame = spark.createDataFrame([(r,) for r in rows], "t string").select("t", text.nfkc(F.col("t")).alias("x"))
+    wrong = [r.t for r in frame.collect() if r.x != unicodedata.normalize("NFKC", r.t)]
+    assert wrong == []
+    assert apply(spark, text.nfkc, None, "") == [None, ""]
+
+
+def test_rich_form_needs_no_python_worker(spark):
+    frame = spark.createDataFrame([("x",)], "t string").select(text.rich_address(F.col("t")))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 @pytest.mark.parametrize(
     "raw, name, core",
     [
