@@ -31,10 +31,10 @@ def link_files_by_rule(
     """Source files to a file of match lists and one of candidate lists, by the rule score."""
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     groups = stage(blocks.candidates(s1, others), "candidates")
-    files.write_tsv(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
+    files.write_listing(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
     scored = pairs.rule_score(pairs.group_features(groups, s1, others))
     matches = lists.result_lists(pairs.accepted(scored, threshold), s1)
-    files.write_tsv(matches, matches_path, "source1_entity_id")
+    files.write_listing(matches, matches_path, "source1_entity_id")
 
 
 def link_by_rule(s1: DataFrame, others: DataFrame, threshold: float, **blocking) -> DataFrame:
@@ -86,9 +86,9 @@ def predict_to_files(
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     groups = stage(blocks.candidates(s1, others), "candidates")
     if candidates_path:
-        files.write_tsv(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
+        files.write_listing(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
     scored = score_pairs(matcher, pairs.group_features(groups, s1, others))
     kept = scored.select("source1_entity_id", "candidate_entity_id", "probability")
     matches = pairs.accepted(kept, matcher.threshold)
-    files.write_tsv(lists.result_lists(matches, s1), matches_path, "source1_entity_id")
+    files.write_listing(lists.result_lists(matches, s1), matches_path, "source1_entity_id")
     return scored

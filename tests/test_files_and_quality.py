@@ -45,6 +45,32 @@ def test_results_are_written_sorted_with_empty_lists(spark, tmp_path):
     assert rows_of(files.read_truth(spark, str(path)).fillna("")) == rows_of(table)
 
 
+def test_listings_have_the_same_bytes_in_any_run(spark, tmp_path, conf):
+    rows = [(f"S1-{i % 900:03}", "" if i % 2 else f"S2-{i}") for i in range(1000)]
+    schema = "source1_entity_id string, matched_entity_ids string"
+
+    def written(name, table):
+        files.write_listing(table, str(tmp_path / name), "source1_entity_id", rows_per_file=128)
+        parts = sorted((tmp_path / name).glob("file=*/part-*"))
+        assert len({p.parent for p in parts}) == len(parts) == 8
+        return [p.read_bytes() for p in parts]
+
+    first = written("a", spark.createDataFrame(rows, schema))
+    conf("spark.sql.shuffle.partitions", "11")
+    assert written("b", spark.createDataFrame(rows[::-1], schema).repartition(5)) == first
+    body = [line for part in first for line in part.decode().splitlines()[1:]]
+    assert body == sorted("\t".join(r) for r in rows)
+    listed = files.read_manifest(spark, str(tmp_path / "a")).orderBy("file").collect()
+    assert [r.rows for r in listed] == [128] * 7 + [104]
+    assert [(r.first, r.last) for r in listed] == [
+        (p.decode().splitlines()[1].split("\t")[0], p.decode().splitlines()[-1].split("\t")[0]) for p in first
+    ]
+    assert rows_of(files.read_truth(spark, str(tmp_path / "a")).fillna("")) == sorted(rows)
+    assert quality.parse_lines(files.read_lines(spark, str(tmp_path / "b"))).count() == 1000
+    files.write_listing(spark.createDataFrame([], schema), str(tmp_path / "none"), "source1_entity_id")
+    assert files.read_manifest(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_id_scan_skips_blank_lines(spark, write):
     path = write("s.tsv", "entity_id\tname\n S2-1 \tx\n\n  \t \nS2-2\nS2-1\ty\n")
     assert rows_of(files.read_ids(spark, path)) == [("S2-1",), ("S2-2",)]
