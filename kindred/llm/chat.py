@@ -10,8 +10,10 @@ Turns are sorted by conversation and turn and cut into blocks of ``BLOCK`` turns
 long a conversation is. What a block does to a conversation is a matrix: the least cost from
 each state before it to each state after it. For the conversations at the edges of blocks
 these are multiplied (least sums) in the order of the blocks, which tells the states between
-blocks. Then every block repairs and renders its own turns. So a conversation with a third
-of all turns is no task's burden; the table of matrices has two rows per block.
+blocks. Then every block repairs its own turns. So a conversation with a third of all turns is
+no task's burden; the table of matrices has two rows per block. Blocks hold roles only; texts are
+joined to the decisions by the place of the turn and rendered turn by turn, so that long texts
+never gather.
 
 The result has one row per fragment: a turn, an inserted turn or the end. Fragments in the
 order of ``place, part`` give the rendered conversation; merged turns stay fragments, so that
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm import common
 from kindred.llm.packing import number_sorted
 from kindred.session import stage
 
@@ -202,26 +205,47 @@ def formatted(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
         )
 
     edges = stage(matrices.groupBy("conv_id").applyInArrow(states_between, EDGES), "edges")
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
-    schema = pa.schema(list(zip(names, types)))
+    decided = pa.schema(
+        [("_place", pa.int64()), ("before", pa.int32()), ("state", pa.int32()), ("ends", pa.bool_())]
+    )
 
     def repair(table: pa.Table, known: pa.Table) -> pa.Table:
         table = table.sort_by("_place")
         between = {r["conv_id"]: (r["entry"], r["leave"]) for r in known.to_pylist()}
-        turns, places, raw, texts = (table.column(c).to_pylist() for c in ("turn", "_place", "role", "text"))
-        rows = []
+        raw, before, after, ends = table.column("role").to_pylist(), [], [], []
         for conv, first, end in _runs(table):
             entry, leave = between.get(conv, (0, None))
-            roles = [role_of(r) for r in raw[first:end]]
-            states = path(entry, roles, leave)
-            rows += [
-                (conv, turns[first + k], places[first + k], part, role, action, text)
-                for k, part, role, action, text in fragments(entry, roles, states, texts[first:end], leave is None)
-            ]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], schema=schema)
-
-    return placed.groupBy("block").cogroup(edges.groupBy("block")).applyInArrow(repair, RESULT)
+            states = path(entry, [role_of(r) for r in raw[first:end]], leave)
+            before += [entry, *states[:-1]]
+            after += states
+            ends += [False] * (len(states) - 1) + [leave is None]
+        columns = [table.column("_place"), *(pa.array(c, f.type) for c, f in zip((before, after, ends), list(decided)[1:]))]
+        return pa.Table.from_arrays(columns, schema=decided)
+
+    # Texts take no part in the decisions: blocks are of numbers and roles, and a turn meets its
+    # text and its two states again by its place, of which there is one.
+    states = (
+        placed.select("conv_id", "role", "_place", "block").groupBy("block").cogroup(edges.groupBy("block"))
+        .applyInArrow(repair, "_place long, before int, state int, ends boolean")
+    )
+    texts = placed.select("conv_id", "turn", "role", "text", "_place")
+    return texts.join(states, "_place").mapInArrow(_rendered, RESULT)
+
+
+def _rendered(batches):
+    """The fragments of every turn."""
+    names = [f.split()[0] for f in RESULT.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
+    schema = pa.schema(list(zip(names, types)))
+    for batch in common.slices(batches):
+        rows = [
+            (r["conv_id"], r["turn"], r["_place"], part, role, action, text)
+            for r in batch.to_pylist()
+            for _, part, role, action, text in fragments(
+                r["before"], [role_of(r["role"])], [r["state"]], [r["text"]], r["ends"]
+            )
+        ]
+        yield common.batch_of(schema, dict(zip(names, map(list, zip(*rows)))))
 
 
 def op9_chat_formatting(spark, sf_dir: str) -> DataFrame:

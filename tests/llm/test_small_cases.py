@@ -447,6 +447,17 @@ def test_warc_round_trip(spark):
     assert warc.read(spark, warc.write(pages(spark, []))).count() == 0
 
 
+def test_chat_blocks_hold_no_texts(spark):
+    """A conversation of long turns: texts are only met after the decisions, one by one."""
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", "x" * 300_000) for k in range(40)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.formatted(frame, block=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    inside = plan[plan.index("FlatMapCoGroupsInArrow"):].splitlines()[0]
+    assert "text" not in inside
+    assert sum(len(r.rendered) for r in found.collect()) > 40 * 300_000 and found.count() == 41
+
+
 def archives(folder):
     """The names and bytes of all files in a local folder."""
     path = Path(folder.removeprefix("file://").removeprefix("file:"))
