@@ -12,6 +12,9 @@ that is not novel as a whole, its long segments are candidates by themselves.
 
 Spans count code points, the end is exclusive. A null text is empty and has no span. Long
 texts are scanned whole; the prime is ``AROUND`` characters to either side of a candidate.
+
+Each row is a text of its own, so repeated rows give repeated results; an empty table gives none.
+Columns are taken by name and further ones stay as they are, whatever their names.
 """
 
 from __future__ import annotations

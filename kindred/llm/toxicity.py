@@ -4,7 +4,9 @@ Two zstandard dictionaries are made from labelled texts of the training folds. T
 one is trained on windows of ordinary texts. The toxic one is not trained: it holds the same
 bytes and after them the windows that ordinary texts do not account for, those that have far
 more different neighbours in toxic than in ordinary texts. Neighbours are counted, not
-occurrences, so that copies of one text add nothing.
+occurrences, so that copies of one text add nothing. Of these windows the toxic dictionary takes
+those with at least a sixteenth of the neighbours of the commonest (five at least), the 1,000
+commonest at most: both bound the model, not the texts that are scored.
 
 A window is ``WINDOW`` bytes of the case-folded text, and one begins at every byte, so that
 windows cover all of it and none depends on white space. It is repeated up to ``FILL`` bytes, as
