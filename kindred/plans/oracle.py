@@ -258,7 +258,8 @@ def _ctes(dataset: str, guard: bool, filled: bool, cap: int) -> dict[str, str]:
         SELECT place, feature, v + (lead(v) OVER w - v) / 2 AS cut, sum(n) OVER w AS n, sum(p) OVER w AS p
         FROM counted WHERE v IS NOT NULL WINDOW w AS (PARTITION BY place ORDER BY v)""",
         "side": """
-        SELECT c.place, feature, cut, false AS lost_left, c.n, c.p FROM cut c LEFT JOIN lost l ON l.place = c.place
+        SELECT c.place, feature, coalesce(cut, 'infinity'::DOUBLE) AS cut, false AS lost_left, c.n, c.p
+        FROM cut c LEFT JOIN lost l ON l.place = c.place
         WHERE cut IS NOT NULL OR l.n > 0
         UNION ALL
         SELECT c.place, feature, cut, true, c.n + l.n, c.p + l.p FROM cut c JOIN lost l ON l.place = c.place WHERE cut IS NOT NULL""",
