@@ -109,9 +109,10 @@ def test_tables_are_read_at_most_twice(spark, name, monkeypatch):
     assert sum(plan_of(df).count("sf0.001/") for df in scans) <= 2
 
 
-def test_python_is_only_used_for_nfkc(spark):
-    assert "Python" not in plan_of(sources(spark, SF_DIR, "documents").all())
-    assert "ArrowEvalPython" in plan_of(sources(spark, SF_DIR, "documents", normalizer="rich").all())
+def test_records_need_no_python_worker(spark):
+    for normalizer in ("basic", "rich"):
+        plan = plan_of(sources(spark, SF_DIR, "documents", normalizer=normalizer).all())
+        assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_report_cuts_examples_before_its_exchange(spark):
