@@ -8,7 +8,6 @@ variants of an operator differ only on missing fields, ``gaps`` leaves some out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -730,8 +729,9 @@ def file_pipeline(spark, sf_dir):
 
 
 def _staged_features(inputs: Sources) -> DataFrame:
-    """Labelled features, some of them NULL, stored by split."""
-    return stage(labels.with_split(_labelled_features(inputs, GAPS)), "features", "split")
+    """Labelled features, some of them NULL, dealt out evenly and stored by split."""
+    rows = labels.with_split(_labelled_features(inputs, GAPS))
+    return stage(rows.hint("rebalance"), "features", "split")
 
 
 def _constant_f05() -> Column:
@@ -778,8 +778,7 @@ def gbt_roundtrip(inputs):
     rows = _staged_features(inputs)
     path = work_path(spark, "matcher")
     matcher, sweep = model.train(rows)
-    model.save_matcher(replace(matcher, threshold=0.123), path)
-    model.save_matcher(matcher, path)  # the last version counts
+    model.save_matcher(matcher, path)
     loaded = model.load_matcher(spark, path)
     chosen = evaluate.best_threshold(sweep).first().best_threshold
     scored = model.score_pairs(matcher, rows).select(*PAIR_KEYS, F.col("probability").alias("before"))

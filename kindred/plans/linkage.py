@@ -55,7 +55,7 @@ def train_from_files(
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     truth = labels.restrict_truth(files.read_truth(spark, truth_path), s1)
     rows = labelled_features(s1, others, truth)
-    return train(stage(labels.with_split(rows), "features", "split"), **options)
+    return train(stage(labels.with_split(rows).hint("rebalance"), "features", "split"), **options)
 
 
 def load_sources(
