@@ -10,6 +10,12 @@ compress against the prime; keys do not. Candidates with letters and digits whos
 ``NOVELTY`` or more are reported, without what base spans already cover. If dots join a run
 that is not novel as a whole, its long segments are candidates by themselves.
 
+Two sorts of candidate need more than novelty, as matches of zstandard are too long to know a
+plain word that it has not seen. One without digits must cost ``PLAIN`` bits a letter or more
+by the letter pairs of its surroundings and of ``LANGUAGE``: words follow them, random letters
+do not. One of 8 to 15 characters must be what a sensitive word is said to be (``password is …``,
+``secret: …``), be no call, name or path, and have a letter behind a digit, or letters as above.
+
 Spans count code points, the end is exclusive. A null text is empty and has no span. Long
 texts are scanned whole; the prime is ``AROUND`` characters to either side of a candidate.
 
@@ -21,8 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 
+import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
@@ -67,6 +74,24 @@ IDENTIFIERS = (
     "https http www com org net html localhost 127.0.0.1 usr bin etc home var tmp index main test data file name "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxx 00000000000000000000"
 ).encode()
+# Words whose letter pairs stand for ordinary language next to those of a text.
+LANGUAGE = (
+    "the and that have with this from they would there their what about which when make like time just know take "
+    "people into year your good some could them other than then only come over think also back after work first "
+    "well even want because these give most between through another against under system program number different "
+    "important information development government international application configuration management administration "
+    "environment experience community university available following understanding communication responsibility "
+    "organization performance particular individual themselves something technology relationship production "
+    "knowledge background description authentication permission certificate repository directory template element "
+    "object request response handler"
+)
+# What a sensitive word is said to be: at most four words, then a verb or a sign, then the value.
+SAID = re.compile(
+    r"""(?:[\x20_-][A-Za-z]{1,15}){0,4}?["'`)\]]?(?:\x20?(?:[:=]=?|[=-]>)|\x20(?:is|was|are|be|to|as|reads|equals)[:=]?)"""
+    r"""[\x20"'`(\[]{1,4}(?![./]|v?[0-9]+[.][0-9])([A-Za-z0-9+/_=.!#$%^&*-]{8,})""",
+    re.A,
+)
+MIXED = re.compile(r"[0-9][^A-Za-z]*[A-Za-z]")
 
 AROUND = 1024
 WIDE = 256
@@ -74,6 +99,7 @@ PIECE = 56  # zstandard entropy-codes literals from 64 bytes on
 RECENT = 4096
 EMPTY = len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(b""))  # bytes of a frame without content
 NOVELTY = 0.8
+PLAIN = 4.6  # bits a letter; letters drawn at random cost log2(26) = 4.7 or more
 REPLACEMENT = "[SECRET]"
 
 
@@ -99,6 +125,26 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return added / len(raw)
 
 
+def _pairs(text: str) -> np.ndarray:
+    """The letter pairs of ``text`` as numbers below 676, whatever the case."""
+    letters = np.frombuffer(text.lower().encode(), np.uint8).astype(np.int64) - ord("a")
+    first, second = letters[:-1], letters[1:]
+    return (26 * first + second)[(first >= 0) & (first < 26) & (second >= 0) & (second < 26)]
+
+
+LANGUAGE_PAIRS = np.bincount(_pairs(LANGUAGE), minlength=676)
+
+
+def letter_bits(candidate: str, around: str) -> float:
+    """Bits per letter of ``candidate`` by the letter pairs of ``around`` and ``LANGUAGE``,
+    whatever the case; 0 if no two letters are side by side."""
+    pairs = _pairs(candidate)
+    if not len(pairs):
+        return 0.0
+    seen = (LANGUAGE_PAIRS + np.bincount(_pairs(around), minlength=676)).reshape(26, 26) + 0.5
+    return float(np.log2(seen.sum(1)[pairs // 26] / seen.ravel()[pairs]).mean())
+
+
 def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Sorted spans, overlapping ones together."""
     out = []
@@ -124,9 +170,22 @@ def _uncovered(start: int, end: int, base: list[tuple[int, int, int]]) -> list[t
 
 def _is_novel(text: str, start: int, end: int) -> bool:
     candidate = text[start:end]
-    if end - start < 16 or not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
+    if end - start < 16 or not any(c.isalpha() for c in candidate):
+        return False
+    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    if not any(c.isdigit() for c in candidate) and letter_bits(candidate, f"{before} {after}") < PLAIN:
         return False
-    return novelty(candidate, text[max(0, start - AROUND) : start], text[end : end + AROUND]) >= NOVELTY
+    return novelty(candidate, before, after) >= NOVELTY
+
+
+def _is_short_novel(text: str, start: int, end: int) -> bool:
+    candidate = text[start:end]
+    if not 8 <= end - start < 16 or text[end : end + 1] in tuple("([{<@:/\\"):
+        return False
+    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    if not MIXED.search(candidate) and letter_bits(candidate, f"{before} {after}") < PLAIN:
+        return False
+    return novelty(candidate, before, after) >= NOVELTY
 
 
 def _is_word(text: str, m: re.Match) -> bool:
@@ -188,6 +247,21 @@ def _novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return found
 
 
+def _said_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Values of 8 to 15 characters that sensitive words are said to have, outside ``known``."""
+    known = _merged(known)
+    found, read = [], 0
+    for m in SENSITIVE.finditer(text):
+        said = SAID.match(text, m.end()) if _is_word(text, m) else None
+        if said is None or said.start(1) < read:
+            continue
+        start, end = said.start(1), said.start(1) + len(said.group(1).rstrip(".!-"))
+        if _uncovered(start, end, known) == [(start, end)] and _is_short_novel(text, start, end):
+            found.append((start, 3, end))
+            read = end
+    return found
+
+
 def spans_of(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of every span, in order."""
     found = []
@@ -199,6 +273,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(word in folded for word in SENSITIVE_WORDS):
         found += _novel_spans(text, sorted(found))
+        found += _said_spans(text, sorted(found))
     return sorted(found)
 
 

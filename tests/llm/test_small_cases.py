@@ -290,6 +290,33 @@ def test_random_strings_are_novel_at_any_length(alphabet):
         assert not [s for s in secret_scan.spans_of("bearer " + ("test_data_1_" * n)[:n]) if s[1] == 3]
 
 
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_letters])
+def test_random_letters_are_novel_and_words_are_not(alphabet):
+    rng = random.Random(14)
+    novel = lambda text: [text[s:e] for s, k, e in secret_scan.spans_of(text) if k == 3]
+    for n, before, least in ((16, "secret key ", 90), (40, "auth ", 99), (400, "token\n", 99), (8, "passphrase: ", 90), (12, "PASSWORD is ", 90)):
+        keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(100)]
+        assert sum(novel(f"{prose(rng, 60)} {before}{key} {prose(rng, 60)}") == [key] for key in keys) >= least
+    for words in (
+        "secret key for the internationalization of getElementsByTagName and uncharacteristically_long_names",
+        "password is incorrect", "the token was authenticated", "password: get_user2()", "the secret is /usr/lib/x86_64",
+        "the token is v1.2.3-beta4", "password is bob99smith@example.com", "secret = None", "access is 2024-01-15",
+    ):
+        assert novel(words) == []
+
+
+def test_what_a_sensitive_word_is_said_to_be():
+    novel = lambda text: [text[s:e] for s, k, e in secret_scan.spans_of(text) if k == 3]
+    for before in ("the password is ", "password for the old server is: '", "passcode = ", "pwd := `", "the new license key => "):
+        assert novel(f"{before}hunter2hunter2. ") == ["hunter2hunter2"]
+    for before in ("", "the passage is ", "password hunter2hunter2", "password of one two three four five is "):
+        assert novel(f"{before} hunter2hunter2 ") == []
+    # Seven characters are too few, and base spans are not reported twice.
+    assert novel("the password is hunt3r2 ") == []
+    assert [k for _, k, _ in secret_scan.spans_of("password=hunter2hunter2")] == [0]
+    assert secret_scan.redact("the password is hunter2hunter2.") == f"the password is {secret_scan.REPLACEMENT}."
+
+
 KEY = "Zx9Qw8Kf7Lm6Np5Rt4Yv3Bc2"
 
 
