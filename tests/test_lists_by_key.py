@@ -58,3 +58,12 @@ def test_subset_rule_compares_ids_only_where_sizes_and_digests_leave_it_open(spa
     judged = dict(staged[0])
     assert not {"equal", "empty"} & judged.keys() and judged["longer"] and judged["no candidates"]
     assert [x for x, outside in staged[0] if not outside] == ["inside", "order", "outside", "two lists", "two rows"]
+
+
+def test_a_broken_header_of_several_files_is_one_finding(spark, records, tmp_path):
+    path = str(tmp_path / "commas")
+    lists = spark.createDataFrame([(f"S1-{i}", "S2-1") for i in range(8)], "source1_entity_id string, matched_entity_ids string")
+    lists.repartition(4).write.option("header", "true").csv(path)
+    required = records([(f"S1-{i}", "us", "a", "b") for i in range(8)])
+    found = quality.check_files(spark, path, required).filter("rule = 'comma_header'").collect()
+    assert [(r.rule, r.n) for r in found] == [("comma_header", 1)]
