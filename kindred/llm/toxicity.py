@@ -203,24 +203,26 @@ def fit(rows: list[tuple[str, int]], toxic_share: float) -> Classifier:
     return Classifier(model.ordinary, model.toxic, tuple(_logistic(x, y, weight).tolist()))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, fold) -> tuple[list[tuple[str, int]], float]:
-    """The rows to fit on, and the share of toxic ones among all labels of the folds."""
+def training_rows(docs: DataFrame, labels: DataFrame, fold) -> tuple[DataFrame, float]:
+    """The rows to fit on, ``text, label, place``, and the share of toxic ones among all labels
+    of the folds."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .dropna().where(fold).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
-    rows = []
-    for label in (0, 1):
+
+    def of(label: int) -> DataFrame:
         # At most FIT_ROWS ids, which Spark sends to the scan.
         chosen = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-        found = (
+        return (
             common.texts(docs).where(F.length("text") <= FIT_CHARS)
-            .join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
-            .orderBy(F.xxhash64("doc_id", "text")).limit(FIT_ROWS).collect()
+            .join(F.broadcast(chosen), "doc_id")
+            .select("text", F.lit(label).alias("label"), F.xxhash64("doc_id", "text").alias("place"))
+            .orderBy("place").limit(FIT_ROWS)
         )
-        rows += [(r["text"], label) for r in found]
-    return rows, share
+
+    return of(0).union(of(1)), share
 
 
 def held_out(column: str = "doc_id"):
@@ -228,7 +230,19 @@ def held_out(column: str = "doc_id"):
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Classifier:
-    return fit(*training_rows(docs, labels, ~held_out()))
+    """The classifier, fitted in a task: its rows are bounded, but never held by the driver."""
+    rows, share = training_rows(docs, labels, ~held_out())
+
+    def run(batches):
+        found = [row for batch in batches for row in batch.itertuples(index=False)]
+        found.sort(key=lambda row: (row.label, row.place))
+        model = fit([(row.text, row.label) for row in found], share)
+        yield pd.DataFrame({"ordinary": [model.ordinary], "toxic": [model.toxic], "weights": [list(model.weights)]})
+
+    model = rows.coalesce(1).mapInPandas(run, "ordinary binary, toxic binary, weights array<double>").first()
+    if model is None:
+        return fit([], share)
+    return Classifier(bytes(model["ordinary"]), bytes(model["toxic"]), tuple(model["weights"]))
 
 
 def scored(docs: DataFrame, model: Classifier) -> DataFrame:
