@@ -8,9 +8,11 @@ too), and full stops and commas after a letter or digit are looked up on their o
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -21,6 +23,18 @@ _STOPS = b".,"
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
+@contextmanager
+def _uncollected():
+    """No search for cycles while many encodings, which have none, are made."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, end id included."""
 
@@ -41,24 +55,20 @@ class WordEncoder:
             self.words[word] = (ids if _NATIVE else np.array(ids, "<u4")).tobytes()
 
     def _learn(self, missing: set[bytes]) -> None:
-        whole, parts, split = [], set(), []
+        cores = {}
         for word in missing:
             core = word.rstrip(_STOPS)
             # After a sign the stops would be one token with it, and '<|' may begin a
             # special token, so only what follows an ASCII letter or digit is split off.
-            if core != word and core[-1:].isalnum() and b"<|" not in core:
-                stops = word[len(core) :]
-                split.append((word, core, stops))
-                parts.add(core)
-                parts.add(stops)
-            else:
-                whole.append(word)
+            if len(core) != len(word) and core[-1:].isalnum() and b"<|" not in core:
+                cores[word] = core
+        parts = missing.difference(cores)
+        parts.update(cores.values(), {word[len(core) :] for word, core in cores.items()})
         parts -= self.words.keys()
-        parts.update(whole)
         self._encode(list(parts))
         known = self.words
-        for word, core, stops in split:
-            known[word] = known[core] + known[stops]
+        for word, core in cores.items():
+            known[word] = known[core] + known[word[len(core) :]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, given in UTF-8, followed by the end id."""
@@ -69,7 +79,8 @@ class WordEncoder:
         known = self.words
         missing = set().union(*split) - known.keys()
         if missing:
-            self._learn(missing)
+            with _uncollected():
+                self._learn(missing)
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 

@@ -2,6 +2,7 @@
 columns with clashing names; and operators against brute force on small inputs."""
 
 import base64
+import gc
 import hashlib
 import itertools
 import json
@@ -740,3 +741,22 @@ def test_pools_in_pieces_lose_no_link(spark, unit, monkeypatch):
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs, 4, name).collect()]
     assert sorted(got) == sorted(brute_components(rows, 4))
     assert 1 < len({c for *_, c in got}) < len(rows)
+
+
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    """The texts to fit on never reach the driver."""
+    docs, labels = toxic_corpus(spark, random.Random(9))
+    rows, share = toxicity.training_rows(docs, labels, ~toxicity.held_out())
+    own = sorted((r["label"], r["place"], r["text"]) for r in rows.collect())
+    expected = toxicity.fit([(text, label) for label, _, text in own], share)
+    monkeypatch.setattr(toxicity, "_logistic", lambda *_: pytest.fail("fitted by the driver"))
+    assert toxicity.trained(docs, labels) == expected
+
+
+def test_words_are_learned_without_searches_for_cycles(encoder, monkeypatch):
+    states, learn = [], tokens.WordEncoder._learn
+    monkeypatch.setattr(tokens.WordEncoder, "_learn", lambda self, missing: (states.append(gc.isenabled()), learn(self, missing)))
+    text = "Unseen zebra. zebra.. a,b, ,. <|x. café. x1."
+    plain = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == [*plain, tokens.END_ID]
+    assert states == [False] and gc.isenabled()
