@@ -32,15 +32,14 @@ def link_files_by_rule(
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     groups = stage(blocks.candidates(s1, others), "candidates")
     files.write_listing(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
-    scored = pairs.rule_score(pairs.group_features(groups, s1, others))
+    scored = pairs.rule_score(pairs.block_features(s1, others))
     matches = lists.result_lists(pairs.accepted(scored, threshold), s1)
     files.write_listing(matches, matches_path, "source1_entity_id")
 
 
 def link_by_rule(s1: DataFrame, others: DataFrame, threshold: float, **blocking) -> DataFrame:
     """Match lists from the fixed rule score; needs no model."""
-    groups = blocks.candidates(s1, others, **blocking)
-    scored = pairs.rule_score(pairs.group_features(groups, s1, others))
+    scored = pairs.rule_score(pairs.block_features(s1, others, blocking=blocking))
     return lists.result_lists(pairs.accepted(scored, threshold), s1)
 
 
