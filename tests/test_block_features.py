@@ -44,3 +44,28 @@ def test_no_pair_is_moved(spark):
     plan = features._jdf.queryExecution().sparkPlan().toString().splitlines()
     compared = next(i for i, line in enumerate(plan) if "arrays_overlap" in line)
     assert not [line for line in plan[:compared] if "Join" in line or "Exchange" in line]
+
+
+def test_addresses_do_not_travel(spark, monkeypatch):
+    """A digest stands for the address of a record at its blocks."""
+    seen, at_blocks = {}, pairs._at_blocks
+    monkeypatch.setattr(pairs, "_at_blocks", lambda rows, side: seen.update({side: rows}) or at_blocks(rows, side))
+    found = records(spark)
+    pairs.block_features(found.filter("source = 's1'"), found.filter("source <> 's1'"))
+    kinds = [seen[side].schema[f"{side}address"].dataType.simpleString() for side in ("left_", "right_")]
+    assert kinds == ["binary", "binary"]
+
+
+def test_addresses_within_each_other(spark):
+    long = " ".join(f"word{i}" for i in range(300))
+    addresses = [
+        "a b c d", "b c", "x a b c d y", "xa b c dy", "a  b", " a b", "a b ", "", None, "c", "b", "a c", "b c d e", "é b c",
+        "éé b cc", long, long[1:], long[:-1], long[3:-4], long.replace("word150", "word15"), long + " a b c d", "word1 word3",
+    ]
+    rows = [(f"{s}-{i}", "acme", a, "de", s) for s in ("s1", "s2", "s3") for i, a in enumerate(addresses)]
+    found = spark.createDataFrame(rows, RECORDS)
+    s1, others = found.filter("source = 's1'"), found.filter("source <> 's1'")
+    expected = Counter(map(tuple, pairs.group_features(blocks.candidates(s1, others), s1, others).collect()))
+    met = pairs.block_features(s1, others)
+    assert len(expected) == 2 * len(addresses) ** 2 and Counter(map(tuple, met.collect())) == expected
+    assert met.filter("address_contains > address_exact").count() > 40
