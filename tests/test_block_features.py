@@ -69,3 +69,15 @@ def test_addresses_within_each_other(spark):
     met = pairs.block_features(s1, others)
     assert len(expected) == 2 * len(addresses) ** 2 and Counter(map(tuple, met.collect())) == expected
     assert met.filter("address_contains > address_exact").count() > 40
+
+
+def test_a_record_brings_along_what_it_meets(spark, monkeypatch):
+    """Many S1 records with the same short address: each has the longer ones of its own blocks."""
+    rows = [(f"s1-{i}", f"name{i}", "main", "de", "s1") for i in range(30)]
+    rows += [(f"s2-{i}", f"name{i}", f"{i} main road{i}", "de", "s2") for i in range(30)]
+    found = spark.createDataFrame(rows, RECORDS)
+    near, met_addresses = [], pairs._met_addresses
+    monkeypatch.setattr(pairs, "_met_addresses", lambda *sides: near.append(met_addresses(*sides)) or near[0])
+    met = pairs.block_features(found.filter("source = 's1'"), found.filter("source <> 's1'"), blocking={"high": 20})
+    assert met.filter("address_contains = 1").count() == met.count() == 30
+    assert [len(row["left_near"]) for row in near[0].collect()] == [1] * 30
