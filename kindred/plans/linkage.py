@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kindred.functions.text import normalize_records
 from kindred.operators import blocks, labels, lists, pairs
 from kindred.operators.model import Matcher, score_pairs, train
+from kindred.operators.paging import number_rows
 from kindred.session import stage
 from kindred.sources import files
 
@@ -28,13 +29,23 @@ def link_files_by_rule(
     candidates_path: str,
     threshold: float,
 ) -> None:
-    """Source files to a file of match lists and one of candidate lists, by the rule score."""
+    """Source files to a file of match lists and one of candidate lists, by the rule score.
+
+    The candidate lists are the bulk of what is written; they are compressed.
+    """
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
-    groups = stage(blocks.candidates(s1, others), "candidates")
-    files.write_listing(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
+    numbered = number_rows(s1.select("entity_id"))
+    own = lists.candidate_lists(blocks.candidates(s1, others), numbered)
+    _write_lists(own, numbered, candidates_path, compression="gzip")
     scored = pairs.rule_score(pairs.block_features(s1, others))
-    matches = lists.result_lists(pairs.accepted(scored, threshold), s1)
-    files.write_listing(matches, matches_path, "source1_entity_id")
+    matches = lists.result_lists(pairs.accepted(scored, threshold), numbered)
+    _write_lists(matches, numbered, matches_path)
+
+
+def _write_lists(rows: DataFrame, numbered: DataFrame, path: str, **options) -> None:
+    """The listing of lists of the ``numbered`` S1 rows."""
+    numbers = numbered.withColumnRenamed("entity_id", "source1_entity_id")
+    files.write_numbered(rows, numbers, path, "source1_entity_id", **options)
 
 
 def link_by_rule(s1: DataFrame, others: DataFrame, threshold: float, **blocking) -> DataFrame:
@@ -84,10 +95,11 @@ def predict_to_files(
     """
     s1, others = load_sources(spark, s1_path, s2_path, s3_path)
     groups = stage(blocks.candidates(s1, others), "candidates")
+    numbered = number_rows(s1.select("entity_id"))
     if candidates_path:
-        files.write_listing(lists.candidate_lists(groups, s1), candidates_path, "source1_entity_id")
+        _write_lists(lists.candidate_lists(groups, numbered), numbered, candidates_path)
     scored = score_pairs(matcher, pairs.group_features(groups, s1, others))
     kept = scored.select("source1_entity_id", "candidate_entity_id", "probability")
     matches = pairs.accepted(kept, matcher.threshold)
-    files.write_listing(lists.result_lists(matches, s1), matches_path, "source1_entity_id")
+    _write_lists(lists.result_lists(matches, numbered), numbered, matches_path)
     return scored
