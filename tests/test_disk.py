@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from kindred.operators import blocks, lists
+from kindred.operators import blocks, lists, pairs
 from kindred.operators.paging import number_rows
 from kindred.session import stage
 from kindred.sources import files
@@ -97,3 +97,17 @@ def test_listing_in_parts_is_that_in_one(spark, tmp_path, monkeypatch):
     parts = [p for f in sorted((tmp_path / "c").glob("file=*")) for p in sorted(f.glob("part-*"))]
     assert len(parts) == 8
     assert [x for p in parts for x in p.read_text().splitlines()[1:]] == sorted("\t".join(r) for r in rows)
+
+
+def test_blocks_without_an_s1_record_are_not_compared(spark, records, monkeypatch):
+    """Records are dealt out only to blocks where they meet one, once the rest is written."""
+    staged, stage_ = {}, pairs.stage
+    monkeypatch.setattr(pairs, "stage", lambda df, name: staged.setdefault(name, stage_(df, name)))
+    s1 = records([("S1-1", "us", "acme foo", "1 main road", "s1")])
+    others = records([(f"S2-{i}", "us", "acme foo", f"other words{i // 2} for{i // 2} main", "s2") for i in range(6)])
+    met = pairs.block_features(s1, others)
+    groups = pairs.group_features(blocks.candidates(s1, others), s1, others)
+    assert rows_of(met) == rows_of(groups) and len(rows_of(met)) == 6
+    used = {b for r in staged["left"].select("blocks").collect() for b in r.blocks}
+    assert {b for r in staged["right"].select("blocks").collect() for b in r.blocks} <= used
+    assert "near" in staged
