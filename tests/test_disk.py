@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kindred.operators import blocks, lists, pairs
 from kindred.operators.paging import number_rows
 from kindred.session import stage
-from kindred.sources import files
+from kindred.sources import files, tables
 
 from conftest import rows_of
 
@@ -111,3 +111,31 @@ def test_blocks_without_an_s1_record_are_not_compared(spark, records, monkeypatc
     used = {b for r in staged["left"].select("blocks").collect() for b in r.blocks}
     assert {b for r in staged["right"].select("blocks").collect() for b in r.blocks} <= used
     assert "near" in staged
+
+
+def test_headers_and_bodies_are_read_where_lines_lie(spark, tmp_path, conf):
+    """No task sorts the lines of a file for its header, and none are moved to leave it out."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for i, text in enumerate(["a\tb\n\nx\t1\n", "c\td", "", "\n \nlast\n"]):
+        (tmp_path / f"{i}.tsv").write_text(text)
+    lines = files.read_file_lines(spark, str(tmp_path))
+    headers = files.headers_of(lines)
+    body = files.body_of(lines, headers)
+    for frame in (headers, body):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "file#" not in x]
+        assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    assert sorted(r.header for r in headers.collect()) == ["", "a\tb", "c\td"]
+    assert rows_of(body) == [("last",), ("x\t1",)]
+
+
+def test_lists_are_dealt_out_also_if_they_are_few(spark, records, conf):
+    """Chunks of a key are dealt anew after they meet their list, whose size Spark did not know."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "32m")
+    rows = [(f"S{1 + i % 3}-{i}", "us", f"n{i % 4}", "a", f"s{1 + i % 3}") for i in range(60)]
+    inputs = tables.Sources(records(rows))
+    found = tables.truth_lists(inputs, "pages")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan[: plan.index("Initial Plan")]
