@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators import blocks, lists, pairs
 from kindred.operators.paging import number_rows
+from kindred.plans import catalog
 from kindred.session import stage
 from kindred.sources import files, tables
 
@@ -139,3 +140,22 @@ def test_lists_are_dealt_out_also_if_they_are_few(spark, records, conf):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan[: plan.index("Initial Plan")]
+
+
+def test_sorted_lines_are_cut_into_ranges_by_their_beginnings(spark, tmp_path, conf):
+    """Lines may be long, and Spark holds a sample of what ranges are cut by."""
+    conf("spark.sql.shuffle.partitions", "5")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    texts = [f"S1-{i % 70:03}\t" + "x" * (i % 3 * 200) + f",é{i}" for i in range(300)] + ["é", "z", "", "S1-0", "S1-001"]
+    files.write_lines(spark.createDataFrame([(t,) for t in texts], "value string").repartition(3), str(tmp_path / "lines"))
+    parts = sorted((tmp_path / "lines").glob("part-*"))
+    read = [r.value for p in parts for r in spark.read.text(str(p)).collect()]
+    assert read == sorted(texts) and 1 < len(parts) <= 5
+
+
+def test_malformed_lines_do_not_cut_ranges_by_whole_lines(spark, records, monkeypatch):
+    frame = type(spark.range(0))
+    ranged, by = [], frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, *c: ranged.append(str(c)) or by(self, *c))
+    catalog.QUERIES["dq_malformed_lines"](spark, "/root/testdata/sf0.001")
+    assert ranged and all("substring" in c for c in ranged)
