@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from kindred.operators import blocks, lists, pairs
+from kindred.operators import blocks, lists, pairs, quality
 from kindred.operators.paging import number_rows
 from kindred.plans import catalog
 from kindred.session import stage
@@ -159,3 +159,19 @@ def test_malformed_lines_do_not_cut_ranges_by_whole_lines(spark, records, monkey
     monkeypatch.setattr(frame, "repartitionByRange", lambda self, *c: ranged.append(str(c)) or by(self, *c))
     catalog.QUERIES["dq_malformed_lines"](spark, "/root/testdata/sf0.001")
     assert ranged and all("substring" in c for c in ranged)
+
+
+def test_subset_rule_compares_no_ids_where_ends_decide(spark, monkeypatch):
+    """An id before the first or after the last candidate is none; without others nothing is compared."""
+    schema = "source1_entity_id string, ids array<string>"
+    rows = [("after", ["x"]), ("before", ["A", "b"]), ("equal", ["b", "c"]), ("twice", ["a"]), ("twice", ["z"]), ("none", [])]
+    candidates = [(i, ["b", "c", "d"] if i != "equal" else ["b", "c"]) for i in ("after", "before", "equal", "twice", "none")]
+    rows, candidates = (spark.createDataFrame(x, schema) for x in (rows, candidates))
+    compared, listed_ids = [], quality.listed_ids
+    monkeypatch.setattr(quality, "listed_ids", lambda r: compared.append(r) or listed_ids(r))
+    assert rows_of(quality.subset_findings(rows, candidates).select("offender")) == [("after",), ("before",), ("twice",)]
+    assert not compared
+    inside = spark.createDataFrame([("in", ["c"]), ("out", ["c2"]), ("part", ["b", None])], schema)
+    others = spark.createDataFrame([(i, ["b", "c", "d"]) for i in ("in", "out", "part")], schema)
+    assert rows_of(quality.subset_findings(inside, others).select("offender")) == [("out",), ("part",)]
+    assert len(compared) == 2
